@@ -81,11 +81,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hash of the text; after the last comes the first. Null text counts as empty. Rows that
     repeat an id and a text are one document, returned once. A lone document is its own next.
 
-    Texts move once, by id; only the start that replaces a quarter moves besides. All sums of
+    Texts move once, by id (an integer; the smallest long stands for null); only the start that replaces a quarter moves besides. All sums of
     a document are made in the task that holds it.
     """
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    d = d.withColumn("key", F.coalesce(F.col("id").cast("long"), F.lit(-(1 << 63)).cast("long"))).withColumn("th", F.xxhash64("t"))
+    kind, null = docs.schema[id_col].dataType, F.lit(-(1 << 63)).cast("long")
+    d = d.select(F.coalesce(F.col("id").cast("long"), null).alias("key"), F.xxhash64("t").alias("th"), "t")
     heads = positions(d.select("key", "th", F.length("t").cast("long").alias("n")).distinct(), "key", "th")
     heads = materialize(heads, "heads")
     total = heads.count()
@@ -95,19 +96,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     k = lambda n: F.floor(F.col(n) / 4).cast("int")
     prev = links.select(F.col("next_key").alias("key"), F.col("next_th").alias("th"), F.col("key").alias("prev_key"), F.col("th").alias("prev_th"), k("n").alias("lend"))
     plan = links.join(prev, ["key", "th"])
-    texts = d.select("id", "key", "th", "t")
-    held = texts.join(plan.hint("shuffle_hash"), ["key", "th"])
+    held = d.join(plan.hint("shuffle_hash"), ["key", "th"])
     starts = held.select(F.col("prev_key").alias("key"), F.col("prev_th").alias("th"), F.substring("t", F.lit(1), F.col("lend")).alias("start")).distinct()
     both = held.join(starts.hint("shuffle_hash"), ["key", "th"])
     edited = F.concat(F.substring("t", F.lit(1), F.col("n").cast("int") - k("n")), F.col("start"))
-    both = both.select("id", "key", "th", "n", "t", edited.alias("e"))
-    sides = both.select("id", "key", "th", "n", F.unhex(F.sha2("e", 256)).alias("sha"), F.posexplode(F.array("t", "e")).alias("side", "text"))
-    fps = votes(sides.select("id", "key", "th", "n", "sha", "side", F.explode(terms_of(F.col("text"))).alias("term")), ["id", "key", "th", "n", "sha", "side"])
-    one = fps.groupBy("id", "key", "th", "n", "sha").agg(*(F.max(F.when(F.col("side") == i, F.col("fp"))).alias(c) for i, c in enumerate(("fp", "efp"))))
+    both = both.select("key", "th", "n", "t", edited.alias("e"))
+    sides = both.select("key", "th", "n", F.unhex(F.sha2("e", 256)).alias("sha"), F.posexplode(F.array("t", "e")).alias("side", "text"))
+    fps = votes(sides.select("key", "th", "n", "sha", "side", F.explode(terms_of(F.col("text"))).alias("term")), ["key", "th", "n", "sha", "side"])
+    one = fps.groupBy("key", "th", "n", "sha").agg(*(F.max(F.when(F.col("side") == i, F.col("fp"))).alias(c) for i, c in enumerate(("fp", "efp"))))
     one = materialize(one, "fingerprints")
     after = one.select(F.col("key").alias("next_key"), F.col("th").alias("next_th"), F.col("fp").alias("nfp"))
     out = one.join(links.select("key", "th", "next_key", "next_th"), ["key", "th"]).join(after, ["next_key", "next_th"])
     return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_chars"), F.lower(F.hex("sha")).alias("edited_sha256"), hex16("fp").alias("fingerprint"), hex16("efp").alias("edited_fingerprint"),
+        F.when(F.col("key") != null, F.col("key")).cast(kind).alias(id_col), F.col("n").alias("n_chars"), F.lower(F.hex("sha")).alias("edited_sha256"), hex16("fp").alias("fingerprint"), hex16("efp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),
     )
