@@ -80,7 +80,9 @@ def train_dictionary(docs: DataFrame, path: str, sample: int = 400, most: int =
     import zstandard as z
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("t")).where(F.octet_length("t") <= most).select(F.xxhash64("t").alias("h"), "t").orderBy("h", "t").limit(sample).collect()
+    small = docs.select(text.alias("t")).where(F.octet_length("t") <= most).select(F.xxhash64("t").alias("h"), "t")
+    last = small.select("h").orderBy("h").limit(sample).agg(F.max("h").alias("h")).first().h  # hashes alone meet on the way
+    rows = small.where(F.col("h") <= F.lit(last)).orderBy("h", "t").limit(sample).collect() if last is not None else []
     enc, tail = load(path), [] if end_id is None else [end_id]
     arrays = [np.asarray([*encode(enc, r.t), *tail], "<u4").tobytes() for r in rows]
     try:
