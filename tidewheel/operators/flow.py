@@ -111,10 +111,10 @@ def velocity(events: DataFrame) -> DataFrame:
 
 
 def leaderboard(events: DataFrame, period: str = "day", n: int = 3) -> DataFrame:
-    """Busiest n stations of each day, week or month, and the rank that they had in the period before that they were in."""
+    """Busiest n stations of each day, week or month, and their rank in the last period before that has them (0: none)."""
     d = events.groupBy(F.date_trunc(period, F.col("ts")).cast("date").alias("period"), "station").agg(F.count(F.lit(1)).alias("n"))
     d = d.withColumn("rank", F.rank().over(Window.partitionBy("period").orderBy(desc("n"))).cast("long"))
-    d = d.withColumn("before", F.lag("rank").over(Window.partitionBy("station").orderBy("period")))
+    d = d.withColumn("before", F.coalesce(F.lag("rank").over(Window.partitionBy("station").orderBy("period")), F.lit(0)))
     return d.where(F.col("rank") <= n)
 
 

@@ -55,7 +55,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     at = F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0))).cast("long")
     n = v.crossJoin(F.broadcast(edge)).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = edge.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin"), "lo", width.alias("w"))
+    grid = edge.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1)).cast("array<long>")).alias("bin"), "lo", width.alias("w"))
     return grid.join(n, "bin", "left").select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("lo"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
