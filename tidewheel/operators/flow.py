@@ -8,7 +8,12 @@ from tidewheel.functions import timefn
 
 from .core import asc, densify_hours, desc, first_per_key, top
 
-OUT, IN = F.col("direction") == "out", F.col("direction") == "in"
+def leaves() -> Column:
+    return F.col("direction") == "out"
+
+
+def arrives() -> Column:
+    return F.col("direction") == "in"
 
 
 def tier(metres: Column) -> Column:
@@ -17,7 +22,7 @@ def tier(metres: Column) -> Column:
 
 def activity(events: DataFrame, n: int | None = None) -> DataFrame:
     """Departures, arrivals and their sum by station, in one pass over both directions."""
-    out = events.groupBy("station").agg(F.count_if(OUT).alias("departures"), F.count_if(IN).alias("arrivals")).withColumn("total", F.col("departures") + F.col("arrivals"))
+    out = events.groupBy("station").agg(F.count_if(leaves()).alias("departures"), F.count_if(arrives()).alias("arrivals")).withColumn("total", F.col("departures") + F.col("arrivals"))
     return top(out, n, desc("total"), asc("station")) if n else out
 
 
@@ -25,12 +30,12 @@ def activity_joined(events: DataFrame) -> DataFrame:
     """The same from two aggregates and a full outer join: for inputs that come as two tables."""
     side = lambda c, name: events.where(c).groupBy("station").agg(F.count(F.lit(1)).alias(name))
     z = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return side(OUT, "departures").join(side(IN, "arrivals"), "station", "full").select("station", z("departures"), z("arrivals"))
+    return side(leaves(), "departures").join(side(arrives(), "arrivals"), "station", "full").select("station", z("departures"), z("arrivals"))
 
 
 def net_flow_by_tier(events: DataFrame, tiers: DataFrame) -> DataFrame:
     rows = events.join(tiers, "station").groupBy(tier(F.col("metres")).alias("tier"), timefn.hour(F.col("ts")).alias("hour"))
-    return rows.agg(F.count_if(OUT).alias("departures"), F.count_if(IN).alias("arrivals")).withColumn("net", F.col("arrivals") - F.col("departures"))
+    return rows.agg(F.count_if(leaves()).alias("departures"), F.count_if(arrives()).alias("arrivals")).withColumn("net", F.col("arrivals") - F.col("departures"))
 
 
 def peak_hours(net: DataFrame) -> DataFrame:
@@ -41,7 +46,7 @@ def peak_hours(net: DataFrame) -> DataFrame:
 
 
 def hourly_outflow(events: DataFrame) -> DataFrame:
-    return events.where(OUT).groupBy("station", timefn.hour_start(F.col("ts")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    return events.where(leaves()).groupBy("station", timefn.hour_start(F.col("ts")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def dense_outflow(events: DataFrame) -> DataFrame:
@@ -65,7 +70,7 @@ def around_middle(dense: DataFrame, stockouts: DataFrame, days: int = 2) -> Data
 
 def _week(events: DataFrame) -> DataFrame:
     weekend = timefn.dow_sunday0(F.col("ts")).isin(0, 6)
-    return events.where(OUT).groupBy("station").agg(F.count_if(~weekend).alias("weekday"), F.count_if(weekend).alias("weekend"), F.count(F.lit(1)).alias("total"))
+    return events.where(leaves()).groupBy("station").agg(F.count_if(~weekend).alias("weekday"), F.count_if(weekend).alias("weekend"), F.count(F.lit(1)).alias("total"))
 
 
 def archetypes(events: DataFrame, more_than: int = 500) -> DataFrame:
@@ -94,7 +99,7 @@ def largest_shift(shifts: DataFrame, n: int = 10) -> DataFrame:
 def hourly_average(events: DataFrame, cluster: DataFrame, offset_hours: int = -4) -> DataFrame:
     """Departures an active day by station and local hour, over a cluster (station) of stations."""
     local = timefn.local(F.col("ts"), offset_hours=offset_hours)
-    rows = events.where(OUT).join(cluster, "station", "left_semi").select("station", local.alias("at"))
+    rows = events.where(leaves()).join(cluster, "station", "left_semi").select("station", local.alias("at"))
     days = rows.agg(F.count_distinct(F.to_date("at")).alias("days"))
     n = rows.groupBy("station", timefn.hour(F.col("at")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     return n.crossJoin(F.broadcast(days)).select("station", "hour", (F.col("n") / F.col("days").cast("double")).alias("daily_avg"))
@@ -106,7 +111,7 @@ def outflow_pressure(average: DataFrame, capacity: DataFrame) -> DataFrame:
 
 
 def velocity(events: DataFrame) -> DataFrame:
-    d = events.groupBy("station", timefn.hour_start(F.col("ts")).alias("hour")).agg(F.count_if(IN).alias("inflow"), F.count_if(OUT).alias("outflow"))
+    d = events.groupBy("station", timefn.hour_start(F.col("ts")).alias("hour")).agg(F.count_if(arrives()).alias("inflow"), F.count_if(leaves()).alias("outflow"))
     return d.withColumns({"velocity": F.col("inflow") + F.col("outflow"), "imbalance": F.abs(F.col("inflow") - F.col("outflow"))})
 
 
@@ -138,7 +143,7 @@ def dead_periods(events: DataFrame, empty_after: int = 3) -> DataFrame:
     day = F.expr("INTERVAL 24 HOURS")
     near = events.select(F.col("station").alias("s"), "ts", "direction")
     joined = runs.join(near, (F.col("station") == F.col("s")) & (F.col("ts") >= F.col("since") - day) & (F.col("ts") < F.col("since")), "left")
-    out = joined.groupBy("station", "since", "hours", "mean").agg(F.count_if(IN).alias("came"), F.count_if(OUT).alias("left"))
+    out = joined.groupBy("station", "since", "hours", "mean").agg(F.count_if(arrives()).alias("came"), F.count_if(leaves()).alias("left"))
     return out.select("station", "since", "hours", (F.col("hours") * F.col("mean")).alias("risk"), F.when(F.col("came") < F.col("left"), "empty").otherwise("full").alias("probably"))
 
 
