@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewheel.plans.storage import materialize
+
 #: kind -> (rule version, pattern, group whose length counts, least length), in the order of
 #: ties. Fixed values. The class-only patterns carry their least length themselves: a run
 #: that is too short can't hold a longer match of the same class.
@@ -95,6 +97,7 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: d
     spark = versions.sparkSession
     v = versions.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", blob_of(F.col("text")))
     found = scan_blobs(unseen_blobs(v, ledger if ledger is not None else new_ledger(spark), rules), rules).where(F.size("spans") > 0)
+    found = materialize(found.select("blob", "spans"), "findings")  # a side of its own, so a blob that many paths hold can be split in the join
     hits = found.select(F.col("blob").alias("hit_blob"), "spans")
     paths = v.select("id", "blob")
     return paths.join(hits, F.col("blob") == F.col("hit_blob"), "left").select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
@@ -116,6 +119,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text
     text = F.col(text_col)
     v = docs.select(text.alias("text")).where(F.col("text").isNotNull()).withColumn("blob", blob_of(F.col("text")))
     found = scan_blobs(unseen_blobs(v, new_ledger(docs.sparkSession))).where(F.size("spans") > 0).select(F.col("blob").alias(hits), F.col("spans").alias(cuts))
+    found = materialize(found, "findings")
     length = F.length(text)
     done = F.aggregate(
         F.col(cuts),
