@@ -16,7 +16,9 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFram
 def read_csv(spark: SparkSession, path: str, schema=None, skip_bad_rows: bool = False, recursive: bool = True) -> DataFrame:
     """CSV with a header and a declared schema (raw trips by default); bad rows fail, or are skipped."""
     r = spark.read.schema(schema or schemas.RAW_TRIPS).option("header", True).option("recursiveFileLookup", recursive).option("mode", "DROPMALFORMED" if skip_bad_rows else "FAILFAST")
-    return r.option("columnPruning", not skip_bad_rows).csv(path)  # a row is bad by all its columns, not only those that a query reads
+    df = r.csv(path)
+    # The parser judges a row by the columns that a query reads; this reads all of them, so a row is bad for every query or for none.
+    return df.where(F.xxhash64(*df.columns) != F.lit(-1)) if skip_bad_rows else df
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
