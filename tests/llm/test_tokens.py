@@ -57,6 +57,24 @@ def test_long_texts_are_cut_at_safe_boundaries(library):
     assert [i for p in parts for i in encode(e, p).tolist()] == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("tail", ["", "x", " x", "<|endoftext|>", "<|endoftext|>\n", "\x1c", "'s"])
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000", " \n\t"])
+def test_long_white_space_equals_the_library(library, run, tail):
+    text = "le mot" + run * (1_200_000 // len(run)) + tail + " fin " + run * 2000 + tail
+    want = library.encode(text, add_special_tokens=False).ids
+    assert encode(load(tokenizer_path()), text).tolist() == want
+    enc = chunk_bpe.ChunkEncoder(tokenizer_path())
+    ids = enc.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == want and enc.decode(ids) == text
+
+
+def test_long_texts_without_boundaries(library):
+    text = "".join(random.Random(2).choices("abc一二", k=400_000))
+    want = library.encode(text, add_special_tokens=False).ids
+    assert encode(load(tokenizer_path()), text).tolist() == want
+    assert np.frombuffer(chunk_bpe.ChunkEncoder(tokenizer_path()).encode(text), "<u4").tolist() == want
+
+
 def test_counts(docs, library):
     got = sorted((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.token_counts(docs).collect())
     want = sorted((i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t in [*enumerate(TEXTS), (3, "one")])

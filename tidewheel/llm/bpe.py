@@ -17,6 +17,9 @@ import numpy as np
 #: Split pattern of the vocabulary (a fixed value of the file format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SAFE = re.compile(r"(?<=\S)(?= )")
+PLAIN = 131_072  # characters that the split pattern takes whatever they are
+#: White space as the split pattern knows it (Python's own class has four characters more).
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -68,11 +71,35 @@ def slices(text: str, size: int = 65_536):
     yield text[at:]
 
 
+@functools.lru_cache(maxsize=4)
+def _whole(enc):
+    """The same vocabulary for texts that are one pre-token."""
+    import tiktoken
+
+    return tiktoken.Encoding(f"{enc.name} whole", pat_str=r"(?s:.+)", mergeable_ranks=enc._mergeable_ranks, special_tokens={})
+
+
+def encode_part(enc, text: str) -> np.ndarray:
+    """Ids of a text whose ends are ends of the document or safe boundaries.
+
+    The split pattern runs out of stack inside white space of some hundred thousand
+    characters. In longer texts each long run is therefore taken out: it is one pre-token, but
+    for its last character if more text follows, which stays with that text.
+    """
+    if len(text) <= PLAIN:
+        return enc.encode_to_numpy(text, allowed_special="all")
+    out, at = [], 0
+    for m in LONG_SPACE.finditer(text):
+        last = m.end() == len(text) or any(text.startswith(t, m.end()) for t in enc.special_tokens_set)
+        end = m.end() if last else m.end() - 1
+        out += [enc.encode_to_numpy(text[at : m.start()], allowed_special="all"), np.asarray(_whole(enc).encode_ordinary(text[m.start() : end]), np.uint32)]
+        at = end
+    return np.concatenate([*out, enc.encode_to_numpy(text[at:], allowed_special="all")])
+
+
 def encode(enc, text: str) -> np.ndarray:
     """Ids of a whole text; strings of special tokens in it become their ids, as the file's library does by default."""
-    if len(text) <= 65_536:
-        return enc.encode_to_numpy(text, allowed_special="all")
-    return np.concatenate([enc.encode_to_numpy(p, allowed_special="all") for p in slices(text)])
+    return np.concatenate([encode_part(enc, p) for p in slices(text)])
 
 
 def balanced(texts: list[str], max_chars: int = 1_000_000):

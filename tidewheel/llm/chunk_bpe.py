@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import load, tokenizer_path
+from .bpe import encode_part, load, tokenizer_path
 
 #: A space after printable ASCII: a safe boundary that is seen in bytes.
 BOUNDARY = re.compile(rb"(?<=[!-~])(?= )")
@@ -53,7 +53,7 @@ class ChunkEncoder:
         self.held = self.reused = self.seen = 0
 
     def _ids(self, piece: bytes) -> bytes:
-        return np.asarray(self.enc.encode_to_numpy(piece.decode("utf-8"), allowed_special="all"), "<u4").tobytes()
+        return np.asarray(encode_part(self.enc, piece.decode("utf-8")), "<u4").tobytes()
 
     def _chunk(self, c: bytes) -> tuple[int, int, bytes] | None:
         first, last = BOUNDARY.search(c), LAST_BOUNDARY.match(c)
@@ -76,7 +76,7 @@ class ChunkEncoder:
             self.chunks.clear()
             self.joins.clear()
             self.held = 0
-        data, out, open_, start = text.encode("utf-8"), [], b"", 0
+        data, out, open_, start = text.encode("utf-8"), [], [], 0
         for end in cuts(data):
             c = data[start:end]
             start = end
@@ -88,13 +88,13 @@ class ChunkEncoder:
             else:
                 self.reused += 1
             if known is None:
-                open_ += c
+                open_.append(c)
                 continue
             head, tail, ids = known
-            out += (self._join(open_ + c[:head]), ids)
-            open_ = c[tail:]
+            out += (self._join(b"".join([*open_, c[:head]])), ids)
+            open_ = [c[tail:]]
         if open_:
-            out.append(self._join(open_))
+            out.append(self._join(b"".join(open_)))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import balanced, load, slices, tokenizer_path
+from .bpe import balanced, encode_part, load, slices, tokenizer_path
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -26,7 +26,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024, id
         for b in batches:
             n = np.zeros(b.num_rows, np.int64)
             for at, part in balanced(b.column(1).to_pylist()):
-                n[at : at + len(part)] = [sum(len(enc.encode_to_numpy(p, allowed_special="all")) for p in slices(t)) for t in part]
+                n[at : at + len(part)] = [sum(len(encode_part(enc, p)) for p in slices(t)) for t in part]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
