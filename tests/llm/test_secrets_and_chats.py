@@ -74,6 +74,18 @@ def test_redaction(spark):
         assert r.text == want + t[at:]
 
 
+def test_redaction_of_a_hot_text(spark):
+    text = "token=abcdef1 " + "é" * 50
+    rows = [(i if i % 7 else None, text if i % 3 == 0 else None if i % 3 == 1 else f"secret: {i:06d}", i % 5) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __blob int").repartition(6)
+    want = [(i, t if t is None else "[secret] " + "é" * 50 if t == text else "[secret]", b) for i, t, b in rows]
+    assert sorted((tuple(r) for r in secrets.redact(docs).collect()), key=str) == sorted(want, key=str)
+    keys = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.lit(1).cast("long").alias("bytes"))
+    assert secrets.hot_texts(keys, 8).count() == 2  # the copies and the nulls
+    assert secrets.redact(docs.limit(0)).count() == 0
+    assert secrets.redact(docs.select("text")).count() == 600
+
+
 CHATS = [(0, 0, "system", "be kind"), (0, 1, "user", "hi é"), (0, 2, "assistant", "hello"), (0, 3, "user", "bye"), (1, 0, "user", "hi"), (1, 1, "assistant", "other"), (1, 1, "assistant", "other"), (2, 0, "user", "no reply"), (4, 0, None, None), (4, 1, "assistant", "same"), (5, 1, "assistant", "same"), (None, 0, "user", "x"), (6, None, "user", "x")] + [
     (8, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(150)
 ] + [(9, 1, "assistant", "end")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.plans.storage import materialize
 
@@ -57,6 +57,10 @@ def digest(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["name"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def current_rules(rules: dict = RULES) -> Column:
+    return F.array(*(F.lit(f"{k}@{v[0]}") for k, v in rules.items()))
+
+
 def new_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
@@ -69,16 +73,19 @@ def unseen_blobs(versions: DataFrame, ledger: DataFrame, rules: dict = RULES) ->
     """
     blobs = versions.groupBy("blob").agg(F.first("text").alias("text"))
     seen = ledger.groupBy(F.col("blob").alias("seen_blob")).agg(F.collect_set(F.concat_ws("@", "rule", F.col("version").cast("string"))).alias("done"))
-    current = F.array(*(F.lit(f"{k}@{v[0]}") for k, v in rules.items()))
     left = blobs.join(seen, F.col("blob") == F.col("seen_blob"), "left")
-    return left.select("blob", "text", F.array_except(current, F.coalesce("done", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
+    return left.select("blob", "text", F.array_except(current_rules(rules), F.coalesce("done", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
+
+
+def scan(text: Column, todo: Column, rules: dict = RULES) -> Column:
+    """Spans of all rules in ``todo``; the others don't run."""
+    empty = F.array().cast(SPAN)
+    return F.array_sort(F.concat(*(F.when(F.array_contains(todo, f"{k}@{v[0]}"), spans_of(text, k, rules)).otherwise(empty) for k, v in rules.items())))
 
 
 def scan_blobs(unseen: DataFrame, rules: dict = RULES) -> DataFrame:
     """(blob, todo, spans): each rule runs on the blobs that it hasn't seen, and only there."""
-    empty = F.array().cast(SPAN)
-    parts = [F.when(F.array_contains("todo", f"{k}@{v[0]}"), spans_of(F.col("text"), k, rules)).otherwise(empty) for k, v in rules.items()]
-    return unseen.select("blob", "todo", F.array_sort(F.concat(*parts)).alias("spans"))
+    return unseen.select("blob", "todo", scan(F.col("text"), F.col("todo"), rules).alias("spans"))
 
 
 def ledger_entries(unseen: DataFrame) -> DataFrame:
@@ -109,17 +116,33 @@ def findings(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return scanned.select(id_col, n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"), F.sha2(digest(F.col("spans")), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def hot_texts(keys: DataFrame, parts: int) -> DataFrame:
+    """(hot) keys of ``keys`` (key, bytes) that hold over 1/(4 parts) of all rows or of all bytes: fewer than 8 parts, whatever the input."""
+    sums = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
+    over = lambda c: F.col(c) * (4 * parts) > sums.agg(F.sum(c)).scalar()
+    return sums.where((F.col("n") > 1) & (over("n") | over("b"))).select(F.col("key").alias("hot"))
+
+
+def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
     """docs with every secret replaced by ``mark``; overlapping spans are replaced as one. Columns and rows stay.
 
-    Every row is kept, also repeated rows and null ids; null text stays null. The scan goes
-    over distinct texts, and its findings come back by content address, not by id.
+    Every row is kept, also repeated rows and null ids; null text stays null. Texts move once,
+    to their content address: the first row there is scanned, and a window brings its findings
+    to the others. Rows of a hot text are dealt into as many parts as a shuffle has, by a hash
+    of their other columns, and each part scans it once; only rows equal in all columns stay together.
     """
-    blob, hits, cuts = "__blob", "__hit_blob", "__spans"
-    text = F.col(text_col)
-    v = docs.select(text.alias("text")).where(F.col("text").isNotNull()).withColumn("blob", blob_of(F.col("text")))
-    found = scan_blobs(unseen_blobs(v, new_ledger(docs.sparkSession))).where(F.size("spans") > 0).select(F.col("blob").alias(hits), F.col("spans").alias(cuts))
-    found = materialize(found, "findings")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
+    key, hot, blob, part, todo, cuts = (own + x for x in ("key", "hot", "blob", "part", "todo", "cuts"))
+    text, whole = F.col(text_col), F.coalesce(F.col(text_col), F.lit(""))
+    others = [F.col(c) for c, kind in docs.dtypes if c != text_col and "map<" not in kind and "variant" not in kind]
+    few = hot_texts(docs.select(F.xxhash64(whole).alias("key"), F.octet_length(whole).cast("long").alias("bytes")), parts).withColumnRenamed("hot", hot)
+    dealt = docs.withColumns({key: F.xxhash64(whole), blob: blob_of(text)}).join(F.broadcast(few), F.col(key) == F.col(hot), "left")
+    dealt = dealt.withColumn(part, F.when(F.col(hot).isNotNull(), F.pmod(F.xxhash64(*others, F.lit(0)), F.lit(parts))).otherwise(F.lit(0)))
+    copies = Window.partitionBy(blob, part).orderBy(blob)
+    dealt = dealt.withColumn(todo, F.when(F.row_number().over(copies) == 1, current_rules()))
+    scanned = dealt.withColumn(cuts, F.when(F.col(todo).isNotNull(), scan(whole, F.col(todo))))
+    found = scanned.withColumn(cuts, F.first(cuts).over(copies.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     length = F.length(text)
     done = F.aggregate(
         F.col(cuts),
@@ -132,5 +155,4 @@ def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text
         ),
         lambda s: F.concat(s["out"], text.substr((s["at"] + 1).cast("int"), length)),
     )
-    joined = docs.withColumn(blob, blob_of(text)).join(found, F.col(blob) == F.col(hits), "left")
-    return joined.withColumn(text_col, F.when(F.col(cuts).isNotNull(), done).otherwise(text)).select(*docs.columns)
+    return found.withColumn(text_col, F.when(F.size(cuts) > 0, done).otherwise(text)).select(*docs.columns)
