@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel import schemas
 from tidewheel.functions import geo, similarity, text, timefn
-from tidewheel.operators import core, entity, flow, places, profile, trips as tr
+from tidewheel.operators import core, entity, flow, layers, places, profile, trips as tr
 from tidewheel.plans.graph import connected_components
 from tidewheel.plans.ordering import positions
 from tidewheel.sources import files
@@ -197,3 +197,43 @@ def test_fan_out_of_a_dimension_that_is_not_unique(spark):
     dim = spark.createDataFrame([("x", 1.0), ("x", 2.0)], "name string, lat double")
     assert t.join(dim, "name").count() == 6
     assert t.join(core.first_per_key(dim, ["name"], core.asc("lat")), "name").count() == 3
+
+
+def test_flags_and_drift(spark):
+    rows = [trip(), trip(" "), trip(None, end=-1), trip(at=(None, -73.6)), trip(start=None)]
+    df = layers.standardize(spark.createDataFrame(rows, TYPES))
+    assert [r.flags for r in df.collect()] == [[], ["missing_start_name"], ["missing_start_name", "invalid_times"], ["missing_start_place"], ["invalid_times"]]
+    assert df.first().trip_date == dt.date(1970, 1, 1)
+    drift = layers.schema_drift(df.select("start_station_name", F.lit(1).alias("end_time_ms")), df.select("start_station_name", "end_time_ms", "flags").schema)
+    assert sorted(tuple(r) for r in drift.collect()) == [("end_time_ms", "bigint", "int"), ("flags", "array<string>", None)]
+
+
+def test_history_of_a_mapping(spark):
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3, 4)]
+    state = lambda *rows: spark.createDataFrame(rows, "k string, v string")
+    h = layers.new_history(state())
+    for day, s in zip(days, (state(("a", "1"), ("b", "1"), ("n", None)), state(("a", "2"), ("b", "1"), ("n", None)), state(("a", "2"), ("c", "1"), ("n", None))), strict=False):
+        h = layers.next_version(h, s, day, ["k"])
+    want = [("a", "1", days[0], days[1]), ("a", "2", days[1], None), ("b", "1", days[0], days[2]), ("c", "1", days[2], None), ("n", None, days[0], None)]
+    got = lambda x: sorted((tuple(r) for r in x.collect()), key=str)
+    assert got(h) == want
+    assert got(layers.next_version(h, state(("a", "2"), ("c", "1"), ("n", None)), days[2], ["k"])) == want
+    again = got(layers.next_version(h, state(("a", "2"), ("b", "1")), days[2], ["k"]))
+    assert again == [("a", "1", days[0], days[1]), ("a", "2", days[1], None), ("b", "1", days[0], None), ("n", None, days[0], days[2])]
+    assert got(layers.state_at(h, days[1])) == [("a", "2"), ("b", "1"), ("n", None)]
+
+
+def test_increments(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    (tmp_path / "b.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    found = files.discover(spark, str(tmp_path))
+    left = layers.unseen_files(found, found.where("path LIKE '%a.csv'"))
+    assert [r.path[-5:] for r in left.collect()] == ["b.csv"]
+    raw = layers.with_origin(files.read_csv(spark, f"{tmp_path}/b.csv"), "b1", dt.datetime(2024, 1, 1)).collect()
+    assert raw[0].source_file.endswith("b.csv") and raw[0].batch_id == "b1"
+    out, month = f"{tmp_path}/silver", 32 * 86_400_000
+    layers.write_months(layers.standardize(spark.createDataFrame([trip(), trip(start=month, end=month)], TYPES)), out)
+    layers.write_months(layers.standardize(spark.createDataFrame([trip("B")], TYPES)), out)
+    assert sorted((r.trip_month, r.start_name) for r in spark.read.parquet(out).collect()) == [(1, "b"), (2, "a")]
+    audit = layers.lineage(spark, "r1", "v1", {"bronze": found, "silver": left})
+    assert [(r.layer, r.row_count) for r in audit.collect()] == [("bronze", 2), ("silver", 1)]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.functions import geo, similarity, text, timefn
-from tidewheel.operators import core, entity, flow, places, profile, trips as tr
+from tidewheel.operators import core, entity, flow, layers, places, profile, trips as tr
 from tidewheel.sources.adapter import EVENTS_SQL, TIERS_SQL, TRIPS_SQL, station_events, station_tiers, table, trips
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,6 +212,40 @@ on_trips("name_conflicts", lambda t: entity.name_conflicts(_mapping(t)), f"WITH
 _MAPPED = f"{_CANON}, lk AS (SELECT DISTINCT normalized_name, coord_key, canonical_station_id FROM map), mt AS (SELECT t.*, a.canonical_station_id AS s, b.canonical_station_id AS e FROM trips t LEFT JOIN lk a ON a.normalized_name = {_NORM.format(x='start_station_name')} AND a.coord_key = printf('%.6f,%.6f', round(start_station_latitude, 6), round(start_station_longitude, 6)) LEFT JOIN lk b ON b.normalized_name = {_NORM.format(x='end_station_name')} AND b.coord_key = printf('%.6f,%.6f', round(end_station_latitude, 6), round(end_station_longitude, 6))), one AS (SELECT count(*)::DOUBLE AS total_trips, count(*) FILTER ({SAME})::DOUBLE AS raw_self_loops, count(*) FILTER (s = e)::DOUBLE AS canonical_self_loops, count(*) FILTER (s IS NULL OR e IS NULL)::DOUBLE AS unmapped_trips, (SELECT count(*) FROM (SELECT coord_key FROM map GROUP BY 1 HAVING count(DISTINCT canonical_station_id) > 1))::DOUBLE AS coordinates_with_several_ids FROM mt)"
 on_trips("mapping_validation", lambda t: entity.mapping_validation(t, _mapping(t)), f"WITH RECURSIVE {_MAPPED} " + " UNION ALL ".join(f"SELECT '{c}' AS metric, {c} AS value FROM one" for c in ("total_trips", "raw_self_loops", "canonical_self_loops", "unmapped_trips", "coordinates_with_several_ids")))
 
+# --- layers
+_BLANKED = "CASE WHEN start_station_name LIKE 'NATION_3 /%' THEN ' ' ELSE start_station_name END"
+_FLAGS = {"missing_start_name": "trim(sn) = ''", "missing_start_place": "false", "missing_end_name": "false", "missing_end_place": "false", "invalid_times": "end_time_ms < start_time_ms"}
+on_trips("flags_by_month", lambda t: layers.flags_by_month(layers.standardize(t.withColumn("start_station_name", F.expr(_BLANKED)))), f"WITH b AS (SELECT *, {_BLANKED} AS sn FROM trips) SELECT year({TS}) AS trip_year, month({TS}) AS trip_month, count(*) AS rows, count(*) FILTER ({' OR '.join(_FLAGS.values())}) AS flagged, " + ", ".join(f"count(*) FILTER ({w}) AS {k}" for k, w in _FLAGS.items()) + " FROM b GROUP BY 1, 2")
+on_trips("canonical_routes", lambda t: layers.canonical_routes(entity.map_trips(t, _mapping(t))), f"WITH RECURSIVE {_MAPPED} SELECT s AS start_canonical_id, e AS end_canonical_id, count(*) AS trips, avg((end_time_ms - start_time_ms) / 60000.0) AS avg_minutes FROM mt GROUP BY ALL")
+_LIMITS = {"total_trips": (1, None), "unmapped_trips": (None, 0), "canonical_self_loops": (None, 10), "kpi_not_reported": (0, 1)}
+on_trips(
+    "quality_gates", lambda t: layers.gates(entity.mapping_validation(t, _mapping(t)), _LIMITS),
+    f"WITH RECURSIVE {_MAPPED}, g AS (" + " UNION ALL ".join(f"SELECT '{k}' AS metric, {'NULL::DOUBLE' if k.startswith('kpi') else k} AS value, {'NULL' if a is None else a}::DOUBLE AS least, {'NULL' if z is None else z}::DOUBLE AS most FROM one" for k, (a, z) in _LIMITS.items()) + ") SELECT *, value IS NOT NULL AND coalesce(value >= least, true) AND coalesce(value <= most, true) AS passed FROM g",
+)
+_DAYS = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+_EARLY, _LATE = "start_time_ms < 788918400000", "start_station_name NOT LIKE 'NATION_5 /%'"
+
+
+def _history(t: DataFrame) -> DataFrame:
+    """First ends of stations, as known from early trips and then from all, when one nation's stations are gone."""
+    state = lambda rows: rows.groupBy(F.col("start_station_name").alias("station")).agg(F.min("end_station_name").alias("first_end"))
+    early, late = state(t.where(_EARLY)), state(t.where(_LATE))
+    return layers.next_version(layers.next_version(layers.new_history(early), early, _DAYS[0], ["station"]), late, _DAYS[1], ["station"])
+
+
+on_trips("mapping_history", _history, f"""WITH a AS (SELECT start_station_name AS station, min(end_station_name) AS first_end FROM trips WHERE {_EARLY} GROUP BY 1), b AS (SELECT start_station_name AS station, min(end_station_name) AS first_end FROM trips WHERE {_LATE} GROUP BY 1)
+SELECT a.station, a.first_end, DATE '{_DAYS[0]}' AS valid_from, CASE WHEN b.station IS NULL OR a.first_end <> b.first_end THEN DATE '{_DAYS[1]}' END AS valid_to FROM a LEFT JOIN b USING (station)
+UNION ALL SELECT b.station, b.first_end, DATE '{_DAYS[1]}', NULL FROM b LEFT JOIN a USING (station) WHERE a.station IS NULL OR a.first_end <> b.first_end""")
+_RULES = [("nation_3 / building", None, "STN_X1", _DAYS[0], None), ("nation_4 / automobile", None, "STN_X2", _DAYS[0], _DAYS[1]), ("nation_6 / machinery", None, "STN_X3", _DAYS[0], None), ("nation_6 / machinery", "45.464000,-73.662000", "STN_X4", _DAYS[0], None)]
+
+
+def _overridden(t: DataFrame) -> DataFrame:
+    rules = t.sparkSession.createDataFrame(_RULES, "normalized_name string, coord_key string, canonical_station_id string, valid_from date, valid_to date")
+    return layers.override(_mapping(t), rules, _DAYS[1]).select("canonical_station_id", "normalized_name", "coord_key", "raw_name", "overridden")
+
+
+on_trips("mapping_overrides", _overridden, f"WITH RECURSIVE {_CANON}, ruled AS (SELECT *, CASE WHEN normalized_name = 'nation_3 / building' THEN 'STN_X1' WHEN normalized_name = 'nation_6 / machinery' AND coord_key = '45.464000,-73.662000' THEN 'STN_X4' WHEN normalized_name = 'nation_6 / machinery' THEN 'STN_X3' END AS r FROM map) SELECT coalesce(r, canonical_station_id) AS canonical_station_id, normalized_name, coord_key, raw_name, r IS NOT NULL AS overridden FROM ruled")
+
 # --- places
 _PT = f"pts AS ({UNION})"
 M = "2 * 6371000.0::DOUBLE * atan2(sqrt(h), sqrt(1 - h))"
