@@ -230,12 +230,13 @@ def _history(t: DataFrame) -> DataFrame:
     """First ends of stations, as known from early trips and then from all, when one nation's stations are gone."""
     state = lambda rows: rows.groupBy(F.col("start_station_name").alias("station")).agg(F.min("end_station_name").alias("first_end"))
     early, late = state(t.where(_EARLY)), state(t.where(_LATE))
-    return layers.next_version(layers.next_version(layers.new_history(early), early, _DAYS[0], ["station"]), late, _DAYS[1], ["station"])
+    h = layers.next_version(layers.next_version(layers.new_history(early), early, _DAYS[0], ["station"]), late, _DAYS[1], ["station"])
+    return h.select("station", "first_end", *(F.col(c).cast("string").alias(c) for c in ("valid_from", "valid_to")))  # as text: null dates differ between client libraries
 
 
 on_trips("mapping_history", _history, f"""WITH a AS (SELECT start_station_name AS station, min(end_station_name) AS first_end FROM trips WHERE {_EARLY} GROUP BY 1), b AS (SELECT start_station_name AS station, min(end_station_name) AS first_end FROM trips WHERE {_LATE} GROUP BY 1)
-SELECT a.station, a.first_end, DATE '{_DAYS[0]}' AS valid_from, CASE WHEN b.station IS NULL OR a.first_end <> b.first_end THEN DATE '{_DAYS[1]}' END AS valid_to FROM a LEFT JOIN b USING (station)
-UNION ALL SELECT b.station, b.first_end, DATE '{_DAYS[1]}', NULL FROM b LEFT JOIN a USING (station) WHERE a.station IS NULL OR a.first_end <> b.first_end""")
+SELECT a.station, a.first_end, '{_DAYS[0]}' AS valid_from, CASE WHEN b.station IS NULL OR a.first_end <> b.first_end THEN '{_DAYS[1]}' END AS valid_to FROM a LEFT JOIN b USING (station)
+UNION ALL SELECT b.station, b.first_end, '{_DAYS[1]}', NULL FROM b LEFT JOIN a USING (station) WHERE a.station IS NULL OR a.first_end <> b.first_end""")
 _RULES = [("nation_3 / building", None, "STN_X1", _DAYS[0], None), ("nation_4 / automobile", None, "STN_X2", _DAYS[0], _DAYS[1]), ("nation_6 / machinery", None, "STN_X3", _DAYS[0], None), ("nation_6 / machinery", "45.464000,-73.662000", "STN_X4", _DAYS[0], None)]
 
 
