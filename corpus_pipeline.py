@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import chunk_bpe, decontaminate, near_dups, quality, secrets
+from tidewheel.llm import chunk_bpe, decontaminate, near_copies, quality, secrets
 from tidewheel.plans.storage import materialize
 
 
@@ -19,8 +19,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    return near_dups.keep_one(docs)
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest id stays."""
+    return near_copies.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality_stage),
-    ("simhash near-dedup", near_dup_stage),
+    ("shingle near-dedup", near_dup_stage),
     ("benchmark decontamination", decontamination_stage),
     ("secret scans", secret_stage),
     ("bpe encoding", bpe_stage),
