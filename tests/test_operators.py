@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 from difflib import SequenceMatcher
 
 import pytest
@@ -111,6 +112,15 @@ def test_components_of_chains(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_of_shuffled_chains(spark):
+    order = list(range(4000))
+    random.Random(7).shuffle(order)
+    chains = [order[:3000], order[3000:]]
+    edges = [(a, b) for c in chains for a, b in zip(c, c[1:], strict=False)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {x: min(c) for c in chains for x in c}
+
+
 def test_positions(spark):
     rows = spark.createDataFrame([(k,) for k in [5, 3, None, 9, 3, -1]], "k long")
     assert [(r.k, r.pos) for r in positions(rows, "k").orderBy("pos").collect()] == [(None, 0), (-1, 1), (3, 2), (3, 3), (5, 4), (9, 5)]
