@@ -56,6 +56,17 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert {s.name for r in again for s in r.spans} == {"hex"}
 
 
+def test_second_scan_finds_old_blobs_under_new_paths(spark, tmp_path):
+    docs, path = _docs(spark), f"file://{tmp_path}/ledger"
+    want = {r.doc_id: r.spans for r in secrets.scan_versions(docs, save_to=path).where("doc_id IS NOT NULL").collect()}
+    more = docs.where("doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id") + 100)
+    newer = secrets.RULES | {"hex": (2, *secrets.RULES["hex"][1:])}
+    for rules in (secrets.RULES, newer):
+        got = secrets.scan_versions(more, spark.read.parquet(path), rules, save_to=path).collect()
+        assert {r.doc_id - 100: r.spans for r in got} == want and any(want.values())
+    assert spark.read.parquet(path).groupBy("blob", "rule", "version").count().where("count > 1").count() == 0
+
+
 def test_redaction(spark):
     docs = _docs(spark)
     out = secrets.redact(docs, "[x]")

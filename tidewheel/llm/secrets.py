@@ -14,8 +14,8 @@ RULES = {
     "access": (1, r"AKIA[A-Z0-9]{16,}", 0, 20),
     "hex": (1, r"[0-9a-f]{24,}", 0, 24),
 }
-LEDGER = "blob binary, rule string, version int"
 SPAN = "array<struct<start:long,kind:int,name:string,end:long>>"
+LEDGER = f"blob binary, rule string, version int, spans {SPAN}"
 
 
 def blob_of(text: Column) -> Column:
@@ -88,24 +88,31 @@ def scan_blobs(unseen: DataFrame, rules: dict = RULES) -> DataFrame:
     return unseen.select("blob", "todo", scan(F.col("text"), F.col("todo"), rules).alias("spans"))
 
 
-def ledger_entries(unseen: DataFrame) -> DataFrame:
-    """The ledger rows that a scan of ``unseen`` adds."""
+def ledger_entries(unseen: DataFrame, rules: dict = RULES) -> DataFrame:
+    """The ledger rows that a scan of ``unseen`` adds: the spans of each blob under each rule that ran, also where there are none."""
     pair = F.split(F.col("pair"), "@")
-    return unseen.select("blob", F.explode("todo").alias("pair")).select("blob", pair[0].alias("rule"), pair[1].cast("int").alias("version"))
+    ran = scan_blobs(unseen, rules).select("blob", "spans", F.explode("todo").alias("pair"))
+    return ran.select("blob", pair[0].alias("rule"), pair[1].cast("int").alias("version"), F.filter("spans", lambda s: s["name"] == pair[0]).alias("spans"))
 
 
-def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: dict = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans) of every row: findings of the unseen blob and rule-version pairs, joined back to all paths.
+def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: dict = RULES, id_col: str = "doc_id", text_col: str = "text", save_to: str | None = None) -> DataFrame:
+    """(doc_id, spans) of every row under all current rules, wherever its text was scanned first.
 
-    Rows whose text the ledger has seen under all current rules come back with no spans;
-    their findings are in the earlier scan's output. Null text counts as empty. Null ids,
-    repeated ids and repeated rows each come back once a row. Extra columns are ignored.
+    Only the unseen blob and rule-version pairs are scanned. Their ledger rows are written to the
+    shared folder, and appended to ``save_to`` if given, which a later scan takes as its
+    ledger; then they and the ledger's earlier rows of the current versions are joined back to
+    all paths. Null text counts as
+    empty. Null ids, repeated ids and repeated rows each come back once a row. Extra columns are ignored.
     """
     spark = versions.sparkSession
     v = versions.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", blob_of(F.col("text")))
-    found = scan_blobs(unseen_blobs(v, ledger if ledger is not None else new_ledger(spark), rules), rules).where(F.size("spans") > 0)
-    found = materialize(found.select("blob", "spans"), "findings")  # a side of its own, so a blob that many paths hold can be split in the join
-    hits = found.select(F.col("blob").alias("hit_blob"), "spans")
+    known = ledger if ledger is not None else new_ledger(spark)
+    added = materialize(ledger_entries(unseen_blobs(v, known, rules), rules), "secret-ledger")  # a side of its own, so a blob that many paths hold can be split in the join
+    if save_to:
+        added.write.mode("append").parquet(save_to)
+    current = known.where(F.concat_ws("@", "rule", F.col("version").cast("string")).isin([f"{k}@{r[0]}" for k, r in rules.items()])).select("blob", "spans")
+    found = added.select("blob", "spans").unionByName(current).where(F.size("spans") > 0)
+    hits = found.groupBy(F.col("blob").alias("hit_blob")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     paths = v.select("id", "blob")
     return paths.join(hits, F.col("blob") == F.col("hit_blob"), "left").select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
