@@ -247,3 +247,34 @@ def test_increments(spark, tmp_path):
     assert sorted((r.trip_month, r.start_name) for r in spark.read.parquet(out).collect()) == [(1, "b"), (2, "a")]
     audit = layers.lineage(spark, "r1", "v1", {"bronze": found, "silver": left})
     assert [(r.layer, r.row_count) for r in audit.collect()] == [("bronze", 2), ("silver", 1)]
+
+
+def test_dealt_join_keeps_every_row_of_a_hot_key(spark):
+    from tidewheel.plans.skew import dealt_join, hot_keys
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 30}") for i in range(900)] + [(1, None)], "i long, k string")
+    lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "key string, v long")
+    counts = rows.groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    assert [r[0] for r in hot_keys(counts, 4).collect()] == ["hot"]
+    got = sorted(tuple(r) for r in dealt_join(rows, lookup, "k", "key").collect())
+    assert got == sorted(tuple(r) for r in rows.join(lookup, rows.k == lookup.key).drop("key").collect()) and len(got) > 600
+    assert dealt_join(rows, lookup, "k", "key", "left").count() == 901
+    assert dealt_join(rows.limit(0), lookup, "k", "key").count() == 0
+
+
+def test_components_of_structs_with_a_hub(spark):
+    edges = [(i, 500) for i in range(1, 500)] + [(i, 501) for i in range(1000, 1400)] + [(500, 501), (2000, 2001)]
+    df = spark.createDataFrame(edges, "a long, b long").select(F.struct(F.col("a").alias("id"), F.lit("x").alias("t")).alias("src"), F.struct(F.col("b").alias("id"), F.lit("x").alias("t")).alias("dst"))
+    got = {r.node.id: r.component.id for r in connected_components(df).collect()}
+    assert got == {n: 2000 if n >= 2000 else 1 for e in edges for n in e}
+
+
+def test_no_temporary_folder_off_a_local_master():
+    from types import SimpleNamespace
+
+    from tidewheel.plans.storage import shared_dir
+
+    nothing = SimpleNamespace(get=lambda *a: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+            shared_dir(SimpleNamespace(conf=nothing, sparkContext=SimpleNamespace(master=master, getConf=lambda: nothing)))
