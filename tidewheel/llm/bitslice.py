@@ -107,24 +107,53 @@ def links_in_short_runs(values: np.ndarray, run: np.ndarray, radius: int) -> tup
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def forest_of_block(values: np.ndarray, radius: int) -> np.ndarray:
-    """Component (least row) of each row of one block: breadth-first search, 64 rows against the unvisited ones at a time."""
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of the edges a-b (a < b) of a spanning forest: each round every open component takes an edge to one with a lesser label."""
+    label, chosen, left = np.arange(n), [np.zeros(0, np.int64)], np.arange(len(a))
+    while len(left):
+        x, y = label[a[left]], label[b[left]]
+        open_ = x != y
+        left, high = left[open_], np.maximum(x, y)[open_]
+        chosen.append(left[np.unique(high, return_index=True)[1]])
+        at = np.concatenate(chosen)
+        label = forest(n, a[at], b[at])
+    return np.concatenate(chosen)
+
+
+def block_hits(ask: np.ndarray, p: np.ndarray, active: np.ndarray, radius: int) -> np.ndarray:
+    """For each value asked, the words of rows (planes p) out of ``active`` within the radius: shape (asked, words)."""
+    words = p.shape[1]
+    bits = np.where(ask[:, None] >> np.arange(64, dtype="<u8") & np.uint64(1), FULL, np.uint64(0))
+    return near(lambda bit, at: p[bit, at % words] ^ bits[at // words, bit], np.tile(active, len(ask)), radius).reshape(len(ask), words)
+
+
+def tree_of_block(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(component, parent) of each row of one block, both rows: the least of its component, and a row within the radius on the way there.
+
+    Breadth-first search, 64 rows against the unvisited ones at a time. Least rows are their own parents.
+    """
     n = len(values)
     p = planes(values)
-    words = p.shape[1]
-    todo, label = np.ones(n, bool), np.full(n, -1)
+    todo, label, parent = np.ones(n, bool), np.full(n, -1), np.arange(n)
     while todo.any():
         root = int(np.argmax(todo))
         todo[root] = False
         label[root] = root
         front = [root]
         while front and todo.any():
-            ask, front = front[:64], front[64:]
-            bits = np.where(values[ask][:, None] >> np.arange(64, dtype="<u8") & np.uint64(1), FULL, np.uint64(0))
-            active = np.tile(pack(todo), len(ask))
-            hit = near(lambda bit, at: p[bit, at % words] ^ bits[at // words, bit], active, radius)  # noqa: B023
-            found = np.flatnonzero(unpack(np.bitwise_or.reduce(hit.reshape(len(ask), words), axis=0))[:n])
+            ask, front = np.array(front[:64]), front[64:]
+            hit = block_hits(values[ask], p, pack(todo), radius)
+            found = np.flatnonzero(unpack(np.bitwise_or.reduce(hit, axis=0))[:n])
+            if not len(found):
+                continue
+            first = (hit[:, found // 64] >> (found % 64).astype("<u8") & np.uint64(1)).argmax(axis=0)
             todo[found] = False
             label[found] = root
+            parent[found] = ask[first]
             front += found.tolist()
-    return label
+    return label, parent
+
+
+def forest_of_block(values: np.ndarray, radius: int) -> np.ndarray:
+    """Component (least row) of each row of one block."""
+    return tree_of_block(values, radius)[0]

@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewheel.plans.graph import connected_components
+from tidewheel.plans.skew import dealt_join
 from tidewheel.plans.storage import materialize
 
-from .bitslice import forest, forest_of_block, links_in_short_runs
+from .bitslice import forest, links_in_short_runs, spanning, tree_of_block
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
 SHORT = 64  # longest run that is compared by shifts
@@ -50,90 +51,111 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "id long, fp long")
 
 
-def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of the runs of equal (tab, key, tile) in sorted rows; a run may go over batches."""
+def runs(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 65_536) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows in pieces that end with a run of equal keys (the first ``keys`` columns), and the number of each row's run in its piece."""
 
-    def work(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        *key, v = cols
-        new = np.ones(len(v), bool)
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in key])
-        run = np.cumsum(new) - 1
+    def numbered(t: pa.Table) -> np.ndarray:
+        new = np.ones(t.num_rows, bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in (t.column(i).to_numpy() for i in range(keys))])
+        return np.cumsum(new) - 1
+
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n < rows:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        run = numbered(t)
+        cut = int(np.searchsorted(run, run[-1]))
+        if cut:
+            yield t.slice(0, cut), run[:cut]
+        held = t.slice(cut).to_batches()
+        n = t.num_rows - cut
+        rows = max(65_536, 2 * n)
+    if n:
+        t = pa.Table.from_batches(held).combine_chunks()
+        yield t, numbered(t)
+
+
+def _out(t: pa.Table, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    node = t.column("node").combine_chunks()
+    node = node.chunk(0) if isinstance(node, pa.ChunkedArray) else node
+    yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], names=["src", "dst"])
+
+
+def forests(batches: Iterator[pa.RecordBatch], radius: int, roots: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning forests of the buckets in sorted rows (tab, key, i, j, fp, node): links of every row to its component's least row, or to a row within the radius."""
+    for t, run in runs(batches, 4):
+        v = t.column("fp").to_numpy().view(np.uint64)
         size = np.bincount(run)
-        v = v.view(np.uint64)
-        label = np.arange(len(v))
+        to = np.arange(len(v))
         few = np.flatnonzero((size[run] > 1) & (size[run] <= SHORT))
+        left = right = np.zeros(0, np.int64)
         if len(few):
             a, b = links_in_short_runs(v[few], run[few], radius)
-            label[few] = few[forest(len(few), a, b)]
-        at = np.flatnonzero(new)
+            if roots:
+                to[few] = few[forest(len(few), a, b)]
+            else:
+                some = spanning(len(few), a, b)
+                left, right = few[b[some]], few[a[some]]
+        at = np.searchsorted(run, np.arange(len(size)))
         for r in np.flatnonzero(size > SHORT):
-            label[at[r] : at[r] + size[r]] = at[r] + forest_of_block(v[at[r] : at[r] + size[r]], radius)
-        moved = np.flatnonzero(label != np.arange(len(v)))
-        yield pa.RecordBatch.from_arrays([pa.array(v[moved].view(np.int64)), pa.array(v[label[moved]].view(np.int64))], names=["src", "dst"])
+            label, parent = tree_of_block(v[at[r] : at[r] + size[r]], radius)
+            to[at[r] : at[r] + size[r]] = at[r] + (label if roots else parent)
+        moved = np.flatnonzero(to != np.arange(len(v)))
+        yield from _out(t, np.concatenate([moved, left]), np.concatenate([to[moved], right]))
 
-    held: list[np.ndarray] | None = None
-    for b in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        held = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-        if len(held[0]) < 65_536:
-            continue
-        last = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in held[:-1]]))
-        if len(last):
-            cut = last[-1] + 1
-            yield from work([c[:cut] for c in held])
-            held = [c[cut:] for c in held]
-    if held is not None and len(held[0]):
-        yield from work(held)
+
+def in_buckets(rows: DataFrame, tile: int) -> DataFrame:
+    """Rows (tab, key, fp, node, ...) with (i, j), dealt and sorted by (tab, key, i, j).
+
+    Buckets over ``tile`` rows are dealt into tiles by a hash of the fingerprint, and each pair of
+    tiles is a group of its own, so a task never holds over about two tiles, and no pair of
+    rows is lost.
+    """
+    rest = rows.columns[2:]
+    hot = rows.groupBy("tab", "key").count().where(F.col("count") > tile).select("tab", "key", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
+    dealt = rows.join(hot, ["tab", "key"], "left").withColumn("own", F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp", F.lit(1)), F.col("tiles"))).cast("int"))
+    others = F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))
+    dealt = dealt.select("tab", "key", "own", F.explode(others).alias("other"), *rest)
+    dealt = dealt.select("tab", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *rest)
+    keys = ["tab", "key", "i", "j"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node")
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Edges (src, dst) that connect all distinct fingerprints (column fp) at most radius bits apart.
+    """Edges (src, dst) that connect the nodes (columns node, fp; a fingerprint each) at most radius bits apart.
 
     Two fingerprints within the radius agree on 2 of radius + 2 blocks of bits. Every pair of
-    blocks is a table; its buckets hold the fingerprints that agree there. Buckets over
-    ``tile`` rows are dealt into tiles by hash, and each pair of tiles is a group of its own,
-    so a task never holds over about two tiles, and no link between tiles is lost. Out of a
-    group comes a spanning forest of its links, never all pairs.
+    blocks is a table; its buckets hold the fingerprints that agree there. Out of a bucket, or a
+    pair of its tiles, comes a spanning forest of its links, never all pairs.
     """
     blocks = radius + 2
     edge = [round(i * 64 / blocks) for i in range(blocks + 1)]
     bits = [(1 << edge[i + 1]) - (1 << edge[i]) for i in range(blocks)]
     masks = [m - (1 << 64) if (m := bits[i] | bits[j]) >> 63 else m for i, j in combinations(range(blocks), 2)]
-    rows = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("tab", "key"))
-    hot = rows.groupBy("tab", "key").count().where(F.col("count") > tile).select("tab", "key", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
-    dealt = rows.join(hot, ["tab", "key"], "left").withColumn("own", F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("tiles"))).cast("int"))
-    others = F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))
-    dealt = dealt.select("tab", "key", "own", F.explode(others).alias("other"), "fp")
-    dealt = dealt.select("tab", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    keys = ["tab", "key", "i", "j"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(lambda it: _links(it, radius), "src long, dst long")
+    rows = fps.select(F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("tab", "key"), "fp", "node")
+    kind = fps.schema["node"].dataType.simpleString()
+    return in_buckets(rows, tile).mapInArrow(lambda it: forests(it, radius, True), f"src {kind}, dst {kind}")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
     component_id is the smallest id that links reach, the row's own included. Fingerprints,
-    not documents, are compared: copies are one fingerprint. Null ids never are the smallest;
-    a component of null ids only has a null component_id. Repeated rows repeat in the result;
-    texts without words have fingerprint 0; an empty table gives an empty result.
+    not documents, are compared: copies are one node, named by its least id, so the least node
+    of a component names the component. Null ids never are the smallest (they count as the
+    greatest long); a component of null ids only has a null component_id. Repeated rows repeat
+    in the result; texts without words have fingerprint 0; an empty table gives an empty result.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, width), "simhash")
-    classes = materialize(fps.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
-    comps = connected_components(fingerprint_links(classes.select("fp"), radius))
-    named = classes.join(comps, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    lookup = named.join(least, "component").select(F.col("fp").alias("class_fp"), "component_id")
-    out = fps.join(lookup, F.col("fp") == F.col("class_fp"))
+    last = F.lit((1 << 63) - 1).cast("long")
+    sums = fps.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    classes = materialize(sums.select("fp", F.struct(F.coalesce("id", last).alias("id"), "fp").alias("node"), "n"), "classes")
+    comps = connected_components(fingerprint_links(classes.select("fp", "node"), radius))
+    linked = comps.select(F.col("node.fp").alias("linked"), F.col("component.id").alias("first"))
+    named = classes.join(linked, F.col("fp") == F.col("linked"), "left").select(F.col("fp").alias("class_fp"), F.nullif(F.coalesce("first", "node.id"), last).alias("component_id"))
+    out = dealt_join(fps, named, "fp", "class_fp", counts=classes.select(F.col("fp").alias("key"), "n"))
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without near-duplicates: of each component the row with the smallest id stays.
-
-    Rows that repeat an id are one document, of which one row stays. Rows with a null id stay.
-    """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    drop = found.groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(id_col) == F.col("component_id")).alias("__keep")).where("NOT __keep").select("__id")
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(drop, F.col(id_col).cast("long") == F.col("__id"), "left_anti").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
