@@ -136,3 +136,49 @@ def test_empty_tables(spark, docs, tmp_path):
     assert chunk_bpe.round_trip(none).count() == 0
     token_files.write_tokens(none, f"file://{tmp_path}/none")
     assert token_files.read_tokens(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_groups_are_balanced_by_bytes_and_encoded_by_one_call(library):
+    rnd = random.Random(9)
+    texts = ["", "é漢 " * 700, "x", "<|endoftext|>", "a<|endoftext|><|endoftext|> b"] + ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(400))) for _ in range(200)] + ["y" * 5000]
+    found = list(token_counts.groups(texts, 3000, 500))
+    for rows, pieces in found:
+        assert sum(len(p.encode()) for p in pieces) <= 3000 or len(pieces) == 1
+    assert ["".join(p for rows, pieces in found for r, p in zip(rows, pieces, strict=True) if r == i) for i in range(len(texts))] == texts
+
+    calls = []
+
+    class Counting:
+        def __init__(self, enc):
+            self.enc = enc
+
+        def __getattr__(self, name):
+            return getattr(self.enc, name)
+
+        def encode_to_numpy(self, text, **how):
+            calls.append(len(text))
+            return self.enc.encode_to_numpy(text, **how)
+
+    enc, n = Counting(load(tokenizer_path())), np.zeros(len(texts), int)
+    for rows, pieces in found:
+        np.add.at(n, rows, token_counts.batch_lengths(enc, pieces))
+    assert len(calls) == len(found) < len(texts) / 3
+    assert n.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_arrow_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from tidewheel.llm.batches import by_bytes
+
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 10, None, "é" * 30, "", "b" * 9, "c" * 9])], names=["i", "t"])
+    parts = list(by_bytes(b.slice(1), 1, 18))
+    assert [p.column(0).to_pylist() for p in parts] == [[1], [2], [3, 4, 5]]
+    assert list(by_bytes(b.slice(0, 0), 1)) == []
+
+
+def test_null_ids_pass(spark):
+    docs = spark.createDataFrame([(None, "some text"), (None, "some text"), (None, None)], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in token_counts.token_counts(docs).collect()) == [0, 2, 2]
+    assert sorted(r.n_tokens for r in chunk_bpe.round_trip(docs).collect()) == [0, 2, 2]
+    assert {r.doc_id for r in token_counts.token_counts(docs).collect()} == {None}

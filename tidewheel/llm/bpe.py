@@ -49,6 +49,8 @@ def load(path: str):
     if (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space") or spec.get("normalizer"):
         raise ValueError(f"{path}: not a plain byte-level BPE")
     back = _byte_of_char()
+    if any(t.get(flag) for t in spec["added_tokens"] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{path}: added tokens that change the text around them")
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     vocab = spec["model"]["vocab"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
