@@ -54,3 +54,27 @@ def test_pipeline_stage_drops_what_fingerprints_miss(spark):
     assert int(fps[0] ^ fps[1]).bit_count() > near_dups.RADIUS
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near))], "doc_id long, text string")
     assert [r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, "").collect()] == [1]
+
+
+def test_areas_in_tiles_against_brute_force(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = []
+    for g in range(3):
+        w = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(40):  # similarities on both sides of the threshold, linked in chains
+            w = list(w)
+            w[rnd.randrange(60)] = f"n{rnd.randrange(9999)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(i + 1000, t) for i, t in rows[:30]]
+    want, _ = _kept(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile, size in ((4096, 16_000_000), (7, 16_000_000), (4096, 3000)):
+        monkeypatch.setattr(near_copies, "TILE", tile)
+        monkeypatch.setattr(near_copies, "TILE_BYTES", size)
+        assert sorted(r.doc_id for r in near_copies.keep_one(docs).collect()) == sorted(rows[i][0] for i in want.values())
+
+
+def test_equal_ids_of_different_texts_stay(spark):
+    rows = [(1, "first words of a text alone"), (1, "quite another text under one id"), (2, "first words of a text alone"), (1, "quite another text under one id")]
+    got = sorted(tuple(r) for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(rows[:2])

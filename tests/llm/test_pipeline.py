@@ -1,5 +1,10 @@
 import corpus_pipeline
-from tidewheel.llm import chunk_bpe, decontaminate, near_dups, quality, secrets
+from tidewheel.llm import chunk_bpe, decontaminate, quality, secrets
+
+
+def _shingles(text):
+    w = text.encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
 def test_stages_follow_each_other(spark, tmp_path):
@@ -21,17 +26,12 @@ def test_stages_follow_each_other(spark, tmp_path):
     labels, bench = spark.read.parquet(f"{src}/labels.parquet"), spark.read.parquet(f"{src}/benchmark.parquet")
     text = {r.doc_id: r.text for r in rows.collect()}
     good = {r.doc_id for r in quality.quality_scores(rows, labels).collect() if r.predicted}
-    fp = {i: int(near_dups.simhash([text[i]])[0]) for i in sorted(good)}
-    keep, comp = set(), {}
-    for i in fp:
-        linked = {comp[j] for j in comp if (fp[i] ^ fp[j]).bit_count() <= 4}
-        comp[i] = i
-        for j in comp:
-            if comp[j] in linked:
-                comp[j] = min(linked)
-        if linked:
-            comp[i] = min(linked)
-    keep = set(comp.values())
+    sets, keep, label = {i: _shingles(text[i]) for i in sorted(good)}, set(), {}
+    for i in sets:
+        linked = {label[j] for j in label if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+        label[i] = min(linked, default=i)
+        label = {j: label[i] if c in linked else c for j, c in label.items()}
+    keep = set(label.values())
     index = decontaminate.Index([(r.item_id, r.text) for r in bench.collect()])
     keep = {i for i in keep if not index.find(text[i])}
     clean = {r.doc_id: r.text for r in secrets.redact(rows.where(rows.doc_id.isin(list(keep)))).collect()}

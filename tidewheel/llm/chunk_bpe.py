@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .batches import by_bytes
 from .bpe import encode_part, load, tokenizer_path
 
 #: A space after printable ASCII: a safe boundary that is seen in bytes.
@@ -46,7 +47,7 @@ class ChunkEncoder:
     A chunk without two boundaries goes into the window whole. Memos are bounded by bytes.
     """
 
-    def __init__(self, path: str, max_bytes: int = 48_000_000):
+    def __init__(self, path: str, max_bytes: int = 16_000_000):
         self.enc, self.max_bytes = load(path), max_bytes
         self.chunks: dict[bytes, tuple[int, int, bytes] | None] = {}
         self.joins: dict[bytes, bytes] = {}
@@ -115,8 +116,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.encode(t.as_py()) for t in b.column(1)], pa.binary())], names=["id", "ids"])
+        for whole in batches:
+            for b in by_bytes(whole, 1):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.encode(t.as_py()) for t in b.column(1)], pa.binary())], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids binary").withColumnRenamed("id", id_col)
@@ -128,8 +130,9 @@ def decode_documents(encoded: DataFrame, path: str | None = None, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.decode(x.as_py() or b"") for x in b.column(1)], pa.string())], names=["id", "text"])
+        for whole in batches:
+            for b in by_bytes(whole, 1):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.decode(x.as_py() or b"") for x in b.column(1)], pa.string())], names=["id", "text"])
 
     return encoded.select(F.col(id_col).alias("id"), "ids").mapInArrow(run, f"id {encoded.schema[id_col].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
 

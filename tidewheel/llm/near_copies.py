@@ -1,21 +1,32 @@
-"""Near copies by word shingles: exact components of texts whose shingle sets have a Jaccard similarity of at least ``threshold``."""
+"""Near copies: components of texts whose five-word shingle sets have a Jaccard similarity of at least ``threshold``.
+
+SimHash finds candidates, by bit-sliced comparison inside buckets; the sets themselves decide.
+A similarity of 0.8 puts fingerprints of 64 bits about 10 bits apart, too many for block
+tables over the bits. Buckets are therefore keyed by bands of shingle minima.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.plans.graph import connected_components
-from tidewheel.plans.storage import materialize
+from tidewheel.plans.storage import discard, materialize
+
+from .batches import by_bytes
+from .bitslice import block_hits, pack, planes, unpack
+from .near_dups import _out, forests, in_buckets, runs
 
 SEED, WIDTH, THRESHOLD = 42, 5, 0.8
-SAMPLE, LISTED = 10_000, 200_000  # texts that show which shingles are common, and how many such shingles are listed; both only set an order
+BANDS, ROWS = 24, 5  # a similarity of 0.8 shares a band with probability 0.9999
+RADIUS = 18  # bits; at 0.8, fingerprints differ in 9.7 on average, with a standard deviation of 2.9
+TILE, TILE_BYTES = 4096, 16_000_000  # rows of a bucket, or rows and bytes of an area, that one task takes at a time, twice
+_MULTIPLIERS = np.random.default_rng(20240517).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
@@ -31,127 +42,147 @@ def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.array([h(joined[a : b - 1], SEED) for a, b in zip(starts, ends[min(width, len(words)) - 1 :], strict=True)], np.uint64))
 
 
-def needed(n: Column, m: Column, threshold: float) -> Column:
-    """Shingles that sets of n and m must share."""
-    return F.ceil((n + m) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
+def simhash_of(s: np.ndarray) -> int:
+    """The fingerprint of a shingle set: bit i is set if over half of the hashes have it."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(s), 4096):
+        ones += np.unpackbits(s[at : at + 4096].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(s), bitorder="little").view("<i8")[0])
 
 
-def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that are common in about SAMPLE of the texts (column t), and their counts there."""
+def bands(s: np.ndarray) -> np.ndarray:
+    """One key a band: the mixed minima of ROWS multiplicative hashes of the set."""
+    least = np.full(len(_MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(s), 4096):
+        least = np.minimum(least, (_MULTIPLIERS[:, None] * s[None, at : at + 4096]).min(axis=1))
+    key = np.zeros(BANDS, np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        key = (key ^ column) * _MIX
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t, width).view(np.int64))], names=["h"])
 
-    part = max(1, texts.count() // SAMPLE)
-    drawn = texts.where(F.pmod(F.xxhash64("t"), F.lit(part)) == 0).distinct().mapInArrow(run, "h long")
-    rows = drawn.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(LISTED).toArrow()
-    h, n = rows.column("h").to_numpy().view(np.uint64), rows.column("count").to_numpy()
-    order = np.argsort(h)
-    return h[order], n[order]
+def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, th, size, node, fp, bands) of every row: a digest of the text, its bytes, the identity of its shingle set, the set's fingerprint and band keys."""
+    from xxhash import xxh3_128_digest
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in by_bytes(whole, 3):
+                made = [(xxh3_128_digest(s.tobytes()), simhash_of(s), bands(s) if len(s) else []) for s in (shingles(t.as_py(), width) for t in b.column(3))]
+                keys, fps, lists = (pa.array(x, kind) for x, kind in zip(zip(*made, strict=True), (pa.binary(), pa.int64(), pa.list_(pa.int64())), strict=True))
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], keys, fps, lists], names=["id", "th", "size", "node", "fp", "bands"])
 
-def with_prefixes(docs: DataFrame, text_col: str, width: int, threshold: float, names: tuple[str, str, str]) -> DataFrame:
-    """docs and three columns: the identity of the shingle set, its size, and its prefix.
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), digest(text_col).alias("th"), F.octet_length(text).cast("long").alias("size"), text.alias("t"))
+    return rows.mapInArrow(run, f"id {kind}, th binary, size long, node binary, fp long, bands array<long>")
 
-    In any one order of all shingles, sets of similarity ``threshold`` share one of their
-    first n - ceil(threshold * n) + 1 shingles. Here rare shingles come first, so that
-    lines that many texts hold are in few prefixes.
-    """
-    from xxhash import xxh3_128_digest
 
-    listed = common_shingles(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")), width)
-    sent = docs.sparkSession.sparkContext.broadcast(listed)
-    at = docs.columns.index(text_col)
+def digest(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, counts = sent.value
-        for b in batches:
-            keys, sizes, prefixes = [], [], []
-            for t in b.column(at).to_pylist():
-                s = shingles(t or "", width)
-                keys.append(xxh3_128_digest(s.tobytes()))
-                sizes.append(len(s))
-                rank = np.zeros(len(s), np.int64)
-                if len(common) and len(s):
-                    found = np.searchsorted(common, s).clip(max=len(common) - 1)
-                    rank = np.where(common[found] == s, counts[found], 0)
-                first = len(s) - math.ceil(threshold * len(s) - 1e-9) + 1 if len(s) else 0
-                prefixes.append(s[np.lexsort((s, rank))[:first]].view(np.int64))
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], names=[*b.schema.names, *names])
-
-    added = zip(names, (BinaryType(), IntegerType(), ArrayType(LongType())), strict=True)
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(name, kind) for name, kind in added)]))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The pairs (src, dst) whose sets, made again from their texts (key, t), are similar enough."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = shingles(x, width), shingles(y, width)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+def areas(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, component): classes (node, fp, bands) that fingerprints within the radius connect inside the buckets of bands."""
+    rows = classes.select(F.posexplode("bands").alias("tab", "key"), "fp", "node")
+    return connected_components(in_buckets(rows, TILE).mapInArrow(lambda it: forests(it, radius, True), "src binary, dst binary"))
 
-    left, right = texts.select(F.col("key").alias("src"), F.col("t").alias("x")), texts.select(F.col("key").alias("dst"), F.col("t").alias("y"))
-    return pairs.join(left, "src").join(right, "dst").select("src", "dst", "x", "y").mapInArrow(run, "src binary, dst binary")
 
+def similar_forest(sets: list[np.ndarray], fps: np.ndarray, side: np.ndarray, threshold: float, radius: int) -> tuple[list[int], list[int]]:
+    """Links that connect all sets (of side 0 or 1) whose similarity is at least ``threshold`` and whose fingerprints are within the radius.
 
-def similar_links(sets: DataFrame, texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges (src, dst) that connect all of ``sets`` (key, n, prefix; one row a key) whose similarity is at least ``threshold``.
-
-    Sets that share a shingle of their prefixes are a bucket. First each bucket's sets are
-    held against its least one; then, in buckets that this leaves in several components, those
-    outside the largest against all that aren't in their own. So a pair goes unchecked only if
-    its ends are connected already, and a bucket of copies costs one check each.
+    Only pairs of both sides count, if there are two. Fingerprints of 64 rows at a time are held
+    against all; of what is within the radius, and not connected yet, the sets are intersected.
+    """
+    n = len(sets)
+    size = np.array([len(x) for x in sets])
+    label, p = np.arange(n), planes(fps)
+    lanes = [pack(side == k) for k in (0, 1)]
+    ask_from = np.flatnonzero(side == 0)
+    two = len(ask_from) < n
+    a, b = [], []
+    for at in range(0, len(ask_from), 64):
+        ask = ask_from[at : at + 64]
+        hits = unpack(block_hits(fps[ask], p, lanes[1] if two else lanes[0], radius)).reshape(len(ask), -1)[:, :n]
+        for i, row in zip(ask, hits, strict=True):
+            y = np.flatnonzero(row & (label != label[i]))
+            y = y[(np.minimum(size[y], size[i]) >= threshold * np.maximum(size[y], size[i]) - 1e-9) & (two | (y > i))]
+            if not len(y):
+                continue
+            both = np.concatenate([sets[k] for k in y])
+            found = sets[i][np.searchsorted(sets[i], both).clip(max=size[i] - 1)] == both
+            shared = np.add.reduceat(found, np.concatenate([[0], np.cumsum(size[y])[:-1]]))
+            for k in y[shared >= threshold * (size[y] + size[i] - shared) - 1e-9]:
+                if label[k] != label[i]:
+                    label[label == label[k]] = label[i]
+                    a.append(int(i))
+                    b.append(int(k))
+    return a, b
+
+
+def _verified(batches: Iterator[pa.RecordBatch], width: int, threshold: float, radius: int) -> Iterator[pa.RecordBatch]:
+    """Links inside the runs of sorted rows (key, i, j, own, fp, node, t)."""
+    for table, run in runs(batches, 3, 4096):
+        fps, own, low, high = (table.column(c).to_numpy() for c in ("fp", "own", "i", "j"))
+        start = np.flatnonzero(np.diff(run, prepend=-1))
+        for at, end in zip(start, [*start[1:], len(run)], strict=True):
+            if end - at > 1:
+                sets = [shingles(t.as_py(), width) for t in table.column("t").slice(at, end - at)]
+                side = (own[at:end] != low[at:end]) & (low[at:end] != high[at:end])
+                a, b = similar_forest(sets, fps[at:end].view(np.uint64), side, threshold, radius)
+                yield from _out(table, at + np.array(a, np.int64), at + np.array(b, np.int64))
+
+
+def similar_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+    """Edges (src, dst) that connect all ``classes`` (node, fp, bands, size, at: id and th) whose sets are at least ``threshold`` similar.
+
+    First, cheap sketches alone divide the classes into areas that fingerprints connect. Only
+    texts of areas of two or more move, to the task of their area, where fingerprints choose
+    which sets are intersected and connected pairs are passed over. Areas of many rows or
+    bytes are dealt into tiles, each pair of tiles a group of its own, so a task holds two
+    tiles at most and no pair of an area stays unseen. Out comes a spanning forest.
     """
-    rows = sets.select("key", "n", F.posexplode("prefix").alias("pos", "h"))
-    bucket = Window.partitionBy("h")
-    crowd = rows.withColumn("m", F.count(F.lit(1)).over(bucket)).withColumn("hub", F.min(F.struct("key", "n", "pos")).over(bucket)).where("m > 1")
-    crowd = materialize(crowd, "prefix-buckets")
-    held = materialize(texts.join(crowd.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("t").alias("t")), "bucket-texts")
-
-    def possible(n: Column, i: Column, m: Column, j: Column) -> Column:
-        """Whether sets can be similar that share a shingle, at places i and j: what comes before it is shared at most before both, what comes after it after both."""
-        return F.least(i, j) + 1 + F.least(n - i, m - j) - 1 >= needed(n, m, threshold)
-
-    c = F.col
-    near = crowd.where((c("key") != c("hub.key")) & possible(c("n"), c("pos"), c("hub.n"), c("hub.pos")))
-    first = materialize(near.select(c("hub.key").alias("src"), c("key").alias("dst")).distinct(), "hub-pairs")
-    links = materialize(verified(first, held, width, threshold), "hub-links")
-    comps = connected_components(links).withColumnRenamed("node", "key")
-    open_ = crowd.where("m > 2").join(comps, "key", "left").select("h", "key", "n", "pos", F.coalesce("component", "key").alias("comp"))
-    sizes = open_.groupBy("h", "comp").count().groupBy("h").agg(F.max_by("comp", F.struct("count", "comp")).alias("base"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    open_ = materialize(open_.join(sizes.select("h", "base"), "h"), "open-buckets")
-    a = open_.where("comp <> base").select("h", *(c(x).alias(f"a_{x}") for x in ("key", "n", "pos", "comp")))
-    b = open_.select("h", *(c(x).alias(f"b_{x}") for x in ("key", "n", "pos", "comp")))
-    met = a.join(b, "h").where((c("a_comp") != c("b_comp")) & possible(c("a_n"), c("a_pos"), c("b_n"), c("b_pos")))
-    rest = met.select(F.least("a_key", "b_key").alias("src"), F.greatest("a_key", "b_key").alias("dst")).distinct().join(first, ["src", "dst"], "left_anti")
-    return links.unionByName(verified(materialize(rest, "open-pairs"), held, width, threshold))
+    found = areas(classes, radius)
+    inside = materialize(found.join(classes.drop("bands"), "node").withColumn("key", F.xxhash64("component")).drop("component"), "areas")  # areas of equal keys are only compared more
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("size") / TILE_BYTES)).cast("int")
+    sizes = inside.groupBy("key").agg(tiles.alias("tiles")).where("tiles > 1")
+    dealt = inside.join(sizes, "key", "left").withColumn("own", F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles"))).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "node", "at")
+    texts = docs.select(F.col(id_col).alias("id"), digest(text_col).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    held = dealt.join(texts, F.col("at.id").eqNullSafe(F.col("id")) & (F.col("at.th") == F.col("th")))
+    keys = ["key", "i", "j"]
+    held = held.select(*keys, "own", "fp", "node", "t").repartition(*keys).sortWithinPartitions(*keys)
+    return held.mapInArrow(lambda it: _verified(it, width, threshold, radius), "src binary, dst binary")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near copies: of each component of similar texts the row with the smallest id stays.
 
     Rows are judged by their own text, also where an id repeats: different texts of one id
-    both stay. Null ids come last, and of a component of null ids one row stays. Texts
-    without words are copies of each other. Columns stay; an empty table gives an empty result.
+    both stay, and one of rows that repeat an id and a text does. Ties of an id go to the
+    least digest of the text. Null ids come last, and of a component of null ids one row stays.
+    Texts without words are copies of each other. Columns stay; an empty table gives an empty
+    result. Only sketches and candidates' texts are compared; the other texts move at most
+    once, for the final join.
     """
     own = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
-    key, n, prefix = names = (own + "key", own + "n", own + "prefix")
-    rows = materialize(with_prefixes(docs, text_col, width, threshold, names), "shingled")
-    ids = rows.select(F.col(key).alias("key"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")).alias("at"))
-    sets = rows.select(F.col(key).alias("key"), F.col(n).alias("n"), F.col(prefix).alias("prefix")).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    texts = rows.select(F.col(key).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    comps = connected_components(similar_links(materialize(sets, "shingle-sets"), texts, width, threshold))
-    firsts = ids.groupBy("key").agg(F.min("at").alias("at"))
-    named = firsts.join(comps, F.col("key") == F.col("node"), "left").select("at", "key", F.coalesce("component", "key").alias("component"))
-    stay = named.groupBy("component").agg(F.min(F.struct("at", "key")).alias("first")).select(F.col("first.key").alias(own + "stay"), F.col("first.at.id").alias(own + "id"))
-    kept = rows.join(stay, (F.col(key) == F.col(own + "stay")) & F.col(id_col).eqNullSafe(F.col(own + "id")), "left_semi")
-    return kept.dropDuplicates([key]).select(*docs.columns)
+    th, lost_id, lost_th = own + "th", own + "lost_id", own + "lost_th"
+    rows = materialize(sketches(docs, id_col, text_col, width), "sketches")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "th")
+    classes = materialize(rows.groupBy("node").agg(F.min(first).alias("at"), *(F.first(c).alias(c) for c in ("fp", "bands", "size"))), "classes")
+    links = materialize(similar_links(classes, docs, id_col, text_col, width, threshold), "links")
+    comps = connected_components(links)
+    named = classes.select("node", "at").join(comps, "node", "left").groupBy(F.coalesce("component", "node").alias("c")).agg(F.min("at").alias("at"))
+    copies = materialize(rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")), "copies")
+    stay = named.select(F.col("at.id").alias("stay_id"), F.col("at.th").alias("stay_th"))
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("th") == F.col("stay_th"))
+    lost = materialize(copies.join(stay, same, "left_anti").select(F.col("id").alias(lost_id), F.col("th").alias(lost_th)), "lost")
+    more = materialize(copies.where("n > 1").join(stay, same, "left_semi").select(F.col("id").alias(lost_id), F.col("th").alias(lost_th)), "repeated")
+    discard(rows, classes, links, copies)
+    match = F.col(id_col).eqNullSafe(F.col(lost_id)) & (F.col(th) == F.col(lost_th))
+    kept = docs.withColumn(th, digest(text_col)).join(lost, match, "left_anti")
+    if not more.isEmpty():
+        kept = kept.join(more, match, "left_anti").unionByName(kept.join(more, match, "left_semi").dropDuplicates([id_col, th]))
+    return kept.select(*docs.columns)

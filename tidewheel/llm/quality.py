@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewheel.plans.storage import materialize
+from tidewheel.plans.storage import discard, materialize
 
+from .batches import by_bytes
 from .folds import remainder
 
 #: Character classes of bytes: lower, upper, digit, space, line break, sentence marks, other ASCII, beyond ASCII.
@@ -88,8 +89,9 @@ def quality_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(id, x array<double>) of every row; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([statistics(t.as_py()) for t in b.column(1)], pa.list_(pa.float64()))], names=["id", "x"])
+        for whole in batches:
+            for b in by_bytes(whole, 1):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([statistics(t.as_py()) for t in b.column(1)], pa.list_(pa.float64()))], names=["id", "x"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, x array<double>")
@@ -162,18 +164,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: i
 def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that the classifier rejects (score under 0.5). Columns stay.
 
-    Texts are read twice, for the fit and for the decision, and never moved: only the vectors
-    of statistics meet the labels. Null text counts as empty; without labels of both kinds
-    every row stays.
+    Texts are read twice, for the fit and for the decision, and never moved or written: only the
+    vectors of statistics meet the labels. Null text counts as empty; without labels of both
+    kinds every row stays; rows of a null id are judged but never learnt from.
     """
-    model = fit(quality_features(docs, id_col, text_col), labels, remainder("id", modulus) != held, id_col)
+    features = materialize(quality_features(docs, id_col, text_col), "statistics")  # so that no task runs two Python workers
+    model = fit(features, labels, remainder("id", modulus) != held, id_col)
+    discard(features)
     if model is None:
         return docs
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = np.array([statistics(t.as_py() or "") for t in b.column(at)]).reshape(-1, len(NAMES))
-            yield b.filter(pa.array(model.scores(x) >= 0.5))
+        for whole in batches:
+            for b in by_bytes(whole, at):
+                x = np.array([statistics(t.as_py() or "") for t in b.column(at)]).reshape(-1, len(NAMES))
+                yield b.filter(pa.array(model.scores(x) >= 0.5))
 
     return docs.mapInArrow(run, docs.schema)
