@@ -117,3 +117,28 @@ def test_preferences(spark):
     con.register("conversations", chats.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
     assert sorted(con.execute(ORACLE["op6_preference_format"]).fetchall()) == got
     assert preferences.preference_format(*preferences.swapped_replies(chats.limit(0))).count() == 0
+
+
+def test_redaction_by_a_ledger(spark, tmp_path):
+    docs, path = _docs(spark), f"file://{tmp_path}/ledger"
+    secrets.scan_versions(docs.where("doc_id < 6"), save_to=path).count()
+    newer = secrets.RULES | {"hex": (2, *secrets.RULES["hex"][1:])}
+    for rules in (secrets.RULES, newer):
+        want = sorted((tuple(r) for r in secrets.redact(docs, "[x]").collect()), key=str)
+        assert sorted((tuple(r) for r in secrets.redact(docs, "[x]", ledger=spark.read.parquet(path), rules=rules).collect()), key=str) == want
+    fake = spark.read.parquet(path).where("false").union(spark.createDataFrame([(hashlib.sha256(b"nothing").digest(), k, 1, []) for k in ("access", "hex")] + [(hashlib.sha256(b"nothing").digest(), "assign", 1, [(0, 0, "assign", 3)])], secrets.LEDGER))
+    hot = spark.createDataFrame([(i, "nothing") for i in range(50)] + [(99, "token=abcdef1")], "doc_id long, text string")
+    assert sorted(r.text for r in secrets.redact(hot, "[x]", ledger=fake).collect()) == ["[x]"] + ["[x]hing"] * 50  # stored findings are used, not made again
+
+
+def test_many_secrets_in_one_text(spark):
+    import time
+
+    text = "é token=abcdef1 and " * 100_000 + "end"
+    docs = spark.createDataFrame([(1, text), (2, "x"), (3, text)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in secrets.findings(secrets.scan_versions(docs)).collect()}
+    assert got[1].n_assign == got[3].n_assign == 100_000 and got[2].n_assign == 0
+    assert got[1].spans == ",".join(f"assign:{20 * i + 2}:{20 * i + 15}" for i in range(100_000))
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {1: "é [secret] and " * 100_000 + "end", 2: "x", 3: "é [secret] and " * 100_000 + "end"}
+    assert time.monotonic() - began < 100

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidewheel.plans.skew import dealt_join, shuffle_parts
 from tidewheel.plans.storage import materialize
 
 #: kind -> (rule version, pattern, group whose length counts, least length), in the order of
@@ -23,6 +24,28 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value worked out once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_blocks(items: Column) -> Column:
+    """An array cut into about as many blocks as each is long.
+
+    Arrays can only grow by being copied. Running sums are therefore made in blocks, and
+    over the blocks: n items cost n times the root of n copies, not n squared.
+    """
+    width = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+    last = F.greatest(F.ceil(F.size(items) / width) - 1, F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * width + 1, width))
+
+
+def running(values: Column, step) -> Column:
+    """For each of an array of longs the result of step over those before it, from 0."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("out"))
+    return F.aggregate(values, start, lambda s, x: F.struct(step(s["at"], x).cast("long").alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+
 def spans_of(text: Column, kind: str, rules: dict = RULES) -> Column:
     """Matches of one rule, leftmost first and not overlapping, as array<struct<start, kind, name, end>> in code points.
 
@@ -31,25 +54,46 @@ def spans_of(text: Column, kind: str, rules: dict = RULES) -> Column:
     """
     _, pattern, group, least = rules[kind]
     order = list(rules).index(kind)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast(SPAN)
-    steps = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("hit"))
-    placed = F.aggregate(
-        steps,
-        F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).cast("long").alias("at"),
-            F.when(
-                F.length(F.regexp_extract(x["hit"], pattern, group)) >= least,
-                F.concat(s["spans"], F.array(F.struct((s["at"] + F.length(x["gap"])).cast("long").alias("start"), F.lit(order).alias("kind"), F.lit(kind).alias("name"), (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).cast("long").alias("end")))),
-            )
-            .otherwise(s["spans"])
-            .cast(SPAN)
-            .alias("spans"),
-        ),
-        lambda s: s["spans"],
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(empty)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    lengths = lambda x: F.struct(F.length(x["gap"]).cast("long").alias("gap"), F.length(x["hit"]).cast("long").alias("hit"), (F.length(F.regexp_extract(x["hit"], pattern, group)) >= least).alias("ok"))
+    steps = bound(found, lambda hits: F.transform(F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(hits)).alias("gap"), hits.alias("hit")), lengths))
+
+    def add(s: Column, x: Column) -> Column:
+        start, end = s["at"] + x["gap"], s["at"] + x["gap"] + x["hit"]
+        span = F.struct(start.alias("start"), F.lit(order).alias("kind"), F.lit(kind).alias("name"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(x["ok"], F.concat(s["spans"], F.array(span).cast(SPAN))).otherwise(s["spans"]).alias("spans"))
+
+    def place(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda s, x: s + x["gap"] + x["hit"]))
+        zipped = F.arrays_zip(blocks.alias("steps"), running(sums, lambda s, x: s + x).alias("start"))
+        return F.flatten(F.transform(zipped, lambda z: F.aggregate(z["steps"], F.struct(z["start"].alias("at"), empty.alias("spans")), add, lambda s: s["spans"])))
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), bound(bound(steps, in_blocks), place)).otherwise(empty)
+
+
+def cut_out(text: Column, spans: Column, mark: str) -> Column:
+    """text with its spans (sorted by start) replaced by mark; overlapping spans are replaced as one."""
+
+    def pieces(z: Column) -> Column:
+        def of(region: Column) -> Column:
+            def add(s: Column, x: Column) -> Column:
+                gap = F.substring(region, (s["at"] - z["low"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
+                more = F.when(x["start"] >= s["at"], F.concat(s["out"], F.array(gap, F.lit(mark)))).otherwise(s["out"])
+                return F.when(x["end"] <= s["at"], s).otherwise(F.struct(x["end"].alias("at"), more.alias("out")))
+
+            return F.aggregate(z["spans"], F.struct(z["low"].alias("at"), F.array().cast("array<string>").alias("out")), add, lambda s: s["out"])
+
+        return bound(F.substring(text, (z["low"] + 1).cast("int"), (z["high"] - z["low"]).cast("int")), of)
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda s, x: F.greatest(s, x["end"])))
+        low = running(ends, F.greatest)
+        high = F.transform(F.arrays_zip(low.alias("low"), ends.alias("end")), lambda x: F.greatest(x["low"], x["end"]))
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("spans"), low.alias("low"), high.alias("high")), pieces))
+
+    last = F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: F.greatest(s, x["end"]))
+    return F.concat(F.array_join(bound(in_blocks(spans), joined), ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
 
 
 def digest(spans: Column) -> Column:
@@ -110,11 +154,10 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: d
     added = materialize(ledger_entries(unseen_blobs(v, known, rules), rules), "secret-ledger")  # a side of its own, so a blob that many paths hold can be split in the join
     if save_to:
         added.write.mode("append").parquet(save_to)
-    current = known.where(F.concat_ws("@", "rule", F.col("version").cast("string")).isin([f"{k}@{r[0]}" for k, r in rules.items()])).select("blob", "spans")
-    found = added.select("blob", "spans").unionByName(current).where(F.size("spans") > 0)
-    hits = found.groupBy(F.col("blob").alias("hit_blob")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
-    paths = v.select("id", "blob")
-    return paths.join(hits, F.col("blob") == F.col("hit_blob"), "left").select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
+    current = known.where(F.concat_ws("@", "rule", F.col("version").cast("string")).isin([f"{k}@{r[0]}" for k, r in rules.items()])).select("blob", "rule", "spans")
+    found = added.select("blob", "rule", "spans").unionByName(current).where(F.size("spans") > 0).groupBy("blob", "rule").agg(F.first("spans").alias("spans"))
+    hits = found.groupBy(F.col("blob").alias("hit_blob")).agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return dealt_join(v.select("id", "blob"), hits, "blob", "hit_blob", "left").select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
 def findings(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -130,36 +173,37 @@ def hot_texts(keys: DataFrame, parts: int) -> DataFrame:
     return sums.where((F.col("n") > 1) & (over("n") | over("b"))).select(F.col("key").alias("hot"))
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text", ledger: DataFrame | None = None, rules: dict = RULES) -> DataFrame:
     """docs with every secret replaced by ``mark``; overlapping spans are replaced as one. Columns and rows stay.
 
-    Every row is kept, also repeated rows and null ids; null text stays null. Texts move once,
-    to their content address: the first row there is scanned, and a window brings its findings
-    to the others. Rows of a hot text are dealt into as many parts as a shuffle has, by a hash
-    of their other columns, and each part scans it once; only rows equal in all columns stay together.
+    Only the blob and rule-version pairs that ``ledger`` (see ``scan_versions``) lacks are
+    scanned; its findings serve for the others. Every row is kept, also repeated rows and null
+    ids; null text stays null. Texts move once, to their content address: the first row there
+    is scanned, and a window brings its findings to the others. Rows of a hot text are dealt
+    into as many parts as a shuffle has, by a hash of their other columns, and each part scans it
+    once; only rows equal in all columns stay together.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_parts(docs)
     own = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
-    key, hot, blob, part, todo, cuts = (own + x for x in ("key", "hot", "blob", "part", "todo", "cuts"))
+    key, hot, blob, part, todo, cuts, old, blob2, part2 = (own + x for x in ("key", "hot", "blob", "part", "todo", "cuts", "old", "blob2", "part2"))
     text, whole = F.col(text_col), F.coalesce(F.col(text_col), F.lit(""))
     others = [F.col(c) for c, kind in docs.dtypes if c != text_col and "map<" not in kind and "variant" not in kind]
-    few = hot_texts(docs.select(F.xxhash64(whole).alias("key"), F.octet_length(whole).cast("long").alias("bytes")), parts).withColumnRenamed("hot", hot)
-    dealt = docs.withColumns({key: F.xxhash64(whole), blob: blob_of(text)}).join(F.broadcast(few), F.col(key) == F.col(hot), "left")
-    dealt = dealt.withColumn(part, F.when(F.col(hot).isNotNull(), F.pmod(F.xxhash64(*others, F.lit(0)), F.lit(parts))).otherwise(F.lit(0)))
+    few = F.broadcast(hot_texts(docs.select(F.xxhash64(whole).alias("key"), F.octet_length(whole).cast("long").alias("bytes")), parts).withColumnRenamed("hot", hot))
+    dealt = docs.withColumns({key: F.xxhash64(whole), blob: blob_of(text)}).join(few, F.col(key) == F.col(hot), "left")
+    dealt = dealt.withColumn(part, F.when(F.col(hot).isNotNull(), F.pmod(F.xxhash64(*others, F.lit(0)), F.lit(parts))).otherwise(F.lit(0)).cast("int"))
+    if ledger is None:
+        dealt = dealt.withColumns({todo: current_rules(rules), old: F.array().cast(SPAN)})
+    else:  # the ledger's rows of a hot text go to each of its parts; join and window share one exchange
+        rule = F.concat_ws("@", "rule", F.col("version").cast("string"))
+        known = ledger.where(rule.isin([f"{k}@{r[0]}" for k, r in rules.items()])).select("blob", rule.alias("rule"), "spans").groupBy("blob", "rule").agg(F.first("spans").alias("spans"))
+        known = known.groupBy(F.col("blob").alias(blob2)).agg(F.collect_list("rule").alias(todo), F.flatten(F.collect_list("spans")).alias(old))
+        spread = dealt.where(F.col(hot).isNotNull()).select(F.col(blob).alias("hot_blob")).distinct()
+        known = known.join(F.broadcast(spread), F.col(blob2) == F.col("hot_blob"), "left")
+        known = known.withColumn(part2, F.explode(F.when(F.col("hot_blob").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(parts - 1))))).drop("hot_blob")
+        dealt = dealt.join(known, (F.col(blob) == F.col(blob2)) & (F.col(part) == F.col(part2)), "left")
+        dealt = dealt.withColumns({todo: F.array_except(current_rules(rules), F.coalesce(todo, F.array().cast("array<string>"))), old: F.coalesce(old, F.array().cast(SPAN))})
     copies = Window.partitionBy(blob, part).orderBy(blob)
-    dealt = dealt.withColumn(todo, F.when(F.row_number().over(copies) == 1, current_rules()))
-    scanned = dealt.withColumn(cuts, F.when(F.col(todo).isNotNull(), scan(whole, F.col(todo))))
+    dealt = dealt.withColumn(todo, F.when(F.row_number().over(copies) == 1, F.col(todo)))
+    scanned = dealt.withColumn(cuts, F.when(F.col(todo).isNotNull(), F.array_sort(F.concat(old, scan(whole, F.col(todo), rules)))))
     found = scanned.withColumn(cuts, F.first(cuts).over(copies.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    length = F.length(text)
-    done = F.aggregate(
-        F.col(cuts),
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(
-            F.struct(
-                x["end"].alias("at"),
-                F.concat(s["out"], F.when(x["start"] >= s["at"], F.concat(text.substr((s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))).alias("out"),
-            )
-        ),
-        lambda s: F.concat(s["out"], text.substr((s["at"] + 1).cast("int"), length)),
-    )
-    return found.withColumn(text_col, F.when(F.size(cuts) > 0, done).otherwise(text)).select(*docs.columns)
+    return found.withColumn(text_col, F.when(F.size(cuts) > 0, cut_out(text, F.col(cuts), mark)).otherwise(text)).select(*docs.columns)
