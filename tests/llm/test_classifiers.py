@@ -81,3 +81,43 @@ def test_density_difference():
     want = [1 / (1 + np.exp(log(v, a.mean(0), np.cov(a.T, bias=True)) - log(v, b.mean(0), np.cov(b.T, bias=True)))) for v in x]
     assert q.scores(x) == pytest.approx(want)
     assert quality.Qda.fit(np.array([0.0, 3.0]), np.zeros((2, 2)), np.zeros((2, 2, 2)), np.zeros(2), np.zeros(2)) is None
+
+
+def _log_odds_by_loops(model, text):
+    words, odds = toxicity.words_of(text), 0.0
+    for first in range(0, max(len(words) - toxicity.PASSAGE, 0) + toxicity.STRIDE, toxicity.STRIDE):
+        if first and first + toxicity.PASSAGE - toxicity.STRIDE >= len(words):
+            break
+        found = [k for w in words[first : first + toxicity.PASSAGE] for k in toxicity.grams([w])[1].tolist()]
+        odds += np.exp(sum(float(model.weight[k]) for k in found) / max(len(found), 1) + model.bias)
+    return np.log(odds)
+
+
+def test_scores_equal_plain_loops():
+    rows = _texts(60)
+    m = toxicity.train([t for _, t, *_ in rows], [x for *_, x in rows], epochs=8)
+    texts = ["", "one", "a b c", "one two three four", "one two three four five", "#$", "river grumblefix " * 7] + [t for _, t, *_ in rows[:9]]
+    assert m.log_odds(texts, {}) == pytest.approx([_log_odds_by_loops(m, t) for t in texts], abs=1e-5)
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(3)
+    bags = toxicity.Bags(["", "bad words in here for all", "a few calm words", "river walk bad", "quiet"], np.array([0.0, 1, 0, 1, 0]))
+    params = [rng.normal(0, 1, (2, len(bags.used))), rng.normal(0, 1, (2, 2)), rng.normal(0, 1, 2)]
+    _, grads = bags.step(*params, 0.01)
+    for q, g in zip(params, grads, strict=True):
+        for at in list(np.ndindex(q.shape))[:25]:
+            old, ends = q[at], []
+            for h in (1e-6, -1e-6):
+                q[at] = old + h
+                ends.append(bags.step(*params, 0.01)[0])
+            q[at] = old
+            assert g[at] == pytest.approx((ends[0] - ends[1]) / 2e-6, abs=1e-6)
+
+
+def test_sample_has_a_row_an_id(tables):
+    docs, labels = tables
+    twice = labels.union(labels).union(labels.where("doc_id = 12").withColumn("toxic", 1 - labels.toxic))
+    got = toxicity.labelled_sample(docs.union(docs), twice, sample=10)
+    assert len(got) == 20 and sum(y for _, y in got) == 10
+    assert len(toxicity.labelled_sample(docs.union(docs), twice)) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(240) if i != 12)

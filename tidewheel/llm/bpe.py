@@ -102,15 +102,3 @@ def encode_part(enc, text: str) -> np.ndarray:
 def encode(enc, text: str) -> np.ndarray:
     """Ids of a whole text; strings of special tokens in it become their ids, as the file's library does by default."""
     return np.concatenate([encode_part(enc, p) for p in slices(text)])
-
-
-def balanced(texts: list[str], max_chars: int = 1_000_000):
-    """Slices of a batch of about equal size: (first row, texts). A text over the size is a slice of its own."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > max_chars:
-            yield at, texts[at:i]
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield at, texts[at:]

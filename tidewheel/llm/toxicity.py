@@ -1,10 +1,9 @@
-"""Toxicity: character n-gram embeddings, averaged by word into a linear softmax."""
+"""Toxicity: character n-gram embeddings averaged over passages into a linear softmax."""
 
 from __future__ import annotations
 
 import functools
 import pickle
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,15 +11,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import balanced
+from .batches import by_bytes
 from .folds import remainder
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 18
-SAMPLE = 1000  # labelled texts of each class that training sees, at most
-MOST = 16_384  # bytes of the longest text that training sees
-TOP = 3  # strongest distinct words that make a text's score
-MEMO = 400_000  # words whose logits a worker remembers
+SAMPLE = 2000  # labelled texts of each class that training sees, at most
+MOST = 32_768  # bytes of the longest text that training sees
+PASSAGE, STRIDE = 4, 2  # words of a passage, and words from one to the next
+MEMO = 400_000  # words whose sums a worker remembers
 #: Digits are all alike; ASCII characters other than letters and digits separate words.
 _SPACED = bytes(48 if 48 <= b <= 57 else b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -46,127 +45,150 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(out)
 
 
+def passages(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, first word, end) of the passages of texts that stand one after the other, of ``lengths`` words.
+
+    Passages of PASSAGE words begin every STRIDE words, so every run of STRIDE words lies in one; a
+    text always has one, if of fewer words or none.
+    """
+    n = np.maximum(-(-(lengths - PASSAGE) // STRIDE), 0) + 1
+    text = np.repeat(np.arange(len(lengths)), n)
+    step = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    start = np.cumsum(lengths) - lengths
+    first = start[text] + step * STRIDE
+    return text, first, np.minimum(first + PASSAGE, (start + lengths)[text])
+
+
+def pooled(text: np.ndarray, d: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of passages' log-odds d: each text's log-odds log(sum exp d), and each passage's share in it."""
+    top = np.full(n, -np.inf)
+    np.maximum.at(top, text, d)
+    e = np.exp(d - top[text])
+    total = np.bincount(text, e, n)
+    return top + np.log(total), e / total[text]
+
+
 @dataclass
 class Model:
-    """A logit for each bucket (its embedding times the softmax's class difference), a bias, and the text-level curve."""
+    """For each bucket its embedding times the softmax's class difference, and the difference of the biases."""
 
     weight: np.ndarray
     bias: float
-    curve: np.ndarray  # of the TOP strongest words' logits and 1
 
-    def word_logits(self, words: list[bytes]) -> np.ndarray:
-        """The mean logit of each word's n-grams; the bias alone for a word without any."""
+    def word_sums(self, words: list[bytes]) -> np.ndarray:
+        """(sum of the weights of a word's n-grams, their number) of each word."""
         at, bucket = grams(words)
         n = len(words)
-        return np.bincount(at, self.weight[bucket], n)[:n] / np.maximum(np.bincount(at, minlength=n)[:n], 1) + self.bias
+        return np.column_stack([np.bincount(at, self.weight[bucket], n)[:n], np.bincount(at, minlength=n)[:n]])
+
+    def word_logits(self, words: list[bytes]) -> np.ndarray:
+        """The log-odds of passages of one word each."""
+        s = self.word_sums(words)
+        return s[:, 0] / np.maximum(s[:, 1], 1) + self.bias
 
-    def strongest(self, texts: list[str], memo: dict[bytes, float] | None = None) -> np.ndarray:
-        """The logits of each text's TOP strongest distinct words, falling; missing ones count as the bias."""
+    def log_odds(self, texts: list[str], memo: dict[bytes, tuple[float, float]] | None = None) -> np.ndarray:
         memo = {} if memo is None else memo
-        sets = [set(words_of(t)) for t in texts]
-        new = [w for w in set().union(*sets) if w not in memo]
-        memo.update(zip(new, self.word_logits(new).tolist(), strict=True))
-        out = np.full((len(texts), TOP), self.bias)
-        for i, s in enumerate(sets):
-            x = np.fromiter(map(memo.__getitem__, s), np.float64, len(s))
-            if len(x) > TOP:
-                x = np.partition(x, len(x) - TOP)[-TOP:]
-            out[i, : len(x)] = np.sort(x)[::-1]
+        lists = [words_of(t) for t in texts]
+        new = [w for w in set().union(*lists) if w not in memo]
+        memo.update(zip(new, map(tuple, self.word_sums(new).tolist()), strict=True))
+        sums = np.array([memo[w] for ws in lists for w in ws]).reshape(-1, 2)
+        c = np.concatenate([np.zeros((1, 2)), np.cumsum(sums, axis=0)])
+        text, first, end = passages(np.array([len(ws) for ws in lists], np.int64))
+        total = c[end] - c[first]
         if len(memo) > MEMO:
             memo.clear()
-        return out
+        return pooled(text, total[:, 0] / np.maximum(total[:, 1], 1) + self.bias, len(texts))[0]
 
-    def scores(self, texts: list[str], memo: dict[bytes, float] | None = None) -> np.ndarray:
-        x = self.strongest(texts, memo)
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -40, 40)))
+    def scores(self, texts: list[str], memo: dict[bytes, tuple[float, float]] | None = None) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.log_odds(texts, memo), -40, 40))) if texts else np.zeros(0)
 
 
-def train(texts: list[str], labels: list[int], dim: int = 4, epochs: int = 25, rate: float = 0.08, seed: int = 7) -> Model | None:
-    """Embeddings and softmax, trained jointly by Adam on all words of half of the texts; the other half fits the curve.
+class Bags:
+    """The training texts: their distinct words' n-grams, their tokens and their passages."""
 
-    Each distinct word is one bag of n-grams. Its target is the share of its texts that are
-    labelled, classes weighed alike. None if the labels are all alike.
-    """
-    y = np.asarray(labels, np.int64)
-    if not len(y) or y.min() == y.max():
-        return None
-    part = np.zeros(len(y), bool)  # of each class every other text
-    for c in (0, 1):
-        part[np.flatnonzero(y == c)[::2]] = True
-    n = [Counter(w for t, k, p in zip(texts, y, part, strict=True) if p and k == c for w in set(words_of(t))) for c in (0, 1)]
-    words = sorted(n[0].keys() | n[1].keys())
-    rng = np.random.default_rng(seed)
-    e, w, b = rng.normal(0, 0.1, (dim, BUCKETS)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
-    if words:
+    def __init__(self, texts: list[str], labels: np.ndarray):
+        self.y = labels
+        self.share = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / len(labels)  # classes weighed alike
+        lists = [words_of(t) for t in texts]
+        words = sorted(set().union(*lists))
+        number = {w: i for i, w in enumerate(words)}
+        self.words, self.token = len(words), np.array([number[w] for ws in lists for w in ws], np.int64)
+        self.text, self.first, self.end = passages(np.array([len(ws) for ws in lists], np.int64))
         at, bucket = grams(words)
         order = np.argsort(at, kind="stable")
         at, bucket = at[order], bucket[order]
-        size = np.bincount(at, minlength=len(words))
-        has = np.flatnonzero(size)
-        size = size[has].astype(np.float32)
-        starts = np.searchsorted(at, has)
-        row = np.searchsorted(has, at)
+        self.has, self.starts = np.unique(at, return_index=True)
         by_bucket = np.argsort(bucket, kind="stable")
-        used, first = np.unique(bucket[by_bucket], return_index=True)
-        slot = np.searchsorted(used, bucket)
-        own, row_by_bucket = e[:, used], row[by_bucket]
-        goal = np.array([[n[c][words[i]] / max((part & (y == c)).sum(), 1) for c in (0, 1)] for i in has], np.float32)
-        goal /= goal.sum()
-        weight = goal.sum(axis=1, keepdims=True)
+        self.used, self.first_of = np.unique(bucket[by_bucket], return_index=True)
+        self.slot, self.word_of = np.searchsorted(self.used, bucket), at[by_bucket]
+        size = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=self.words)[self.token])])
+        self.size = np.maximum(size[self.end] - size[self.first], 1)
+
+    def step(self, e: np.ndarray, w: np.ndarray, b: np.ndarray, decay: float) -> tuple[float, tuple[np.ndarray, ...]]:
+        """Cross-entropy of the texts plus the embeddings' decay, and its gradients by embeddings (of the used buckets), weights and biases."""
+        mean = np.zeros((len(e), len(self.text)))
+        for k, row in enumerate(e):  # one dimension at a time bounds the memory
+            sums = np.zeros(self.words)
+            sums[self.has] = np.add.reduceat(row[self.slot], self.starts)
+            c = np.concatenate([[0.0], np.cumsum(sums[self.token])])
+            mean[k] = (c[self.end] - c[self.first]) / self.size
+        odds, part = pooled(self.text, (w[:, 1] - w[:, 0]) @ mean + b[1] - b[0], len(self.y))
+        p = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+        loss = -(self.share * np.log(np.where(self.y == 1, p, 1 - p) + 1e-300)).sum() + 0.5 * decay * float((e.astype(float) ** 2).sum())
+        g = ((p - self.y) * self.share)[self.text] * part
+        de = np.zeros(e.shape)
+        for k in range(len(e)):
+            x = g / self.size * (w[k, 1] - w[k, 0])
+            n = len(self.token) + 1
+            per_token = np.cumsum(np.bincount(self.first, x, n) - np.bincount(self.end, x, n))[:-1]
+            de[k] = np.add.reduceat(np.bincount(self.token, per_token, self.words)[self.word_of], self.first_of) + decay * e[k]
+        return loss, (de, np.column_stack([-mean @ g, mean @ g]), np.array([-g.sum(), g.sum()]))
+
+
+def train(texts: list[str], labels: list[int], dim: int = 4, epochs: int = 60, rate: float = 0.08, seed: int = 7, decay: float = 3e-5) -> Model | None:
+    """Embeddings and softmax, trained jointly by Adam on whole texts. None if the labels are all alike.
+
+    A passage's vector is the mean of the embeddings of all n-grams of its words. The softmax
+    gives its log-odds; the odds of a text are the sum of its passages' odds, so cross-entropy
+    of whole texts trains everything, and a word drowns in no long text.
+    """
+    y = np.asarray(labels, np.float64)
+    if not len(y) or y.min() == y.max():
+        return None
+    bags = Bags(texts, y)
+    rng = np.random.default_rng(seed)
+    e, w, b = rng.normal(0, 0.1, (dim, BUCKETS)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)
+    own = e[:, bags.used]
+    if len(bags.used):
         state = [(np.zeros_like(p), np.zeros_like(p)) for p in (own, w, b)]
         for t in range(1, epochs + 1):
-            mean = np.array([np.add.reduceat(x[slot], starts) for x in own]) / size
-            z = mean.T @ w + b
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            g = p * weight - goal
-            back = (w @ g.T) / size
-            for q, d, (m, v) in zip((own, w, b), (np.array([np.add.reduceat(x[row_by_bucket], first) for x in back]), mean @ g, g.sum(axis=0)), state, strict=True):
-                m += 0.1 * (d - m)
-                v += 0.01 * (d * d - v)
-                q -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
-        e[:, used] = own
-        untrained = np.ones(BUCKETS, bool)
-        untrained[used] = False
-        e[:, untrained] = 0
-    d = w[:, 1] - w[:, 0]
-    model = Model((d @ e).astype(np.float32), float(b[1] - b[0]), np.array([1.0] * TOP + [0.0]))
-    rest = ~part if (~part).any() and len(set(y[~part].tolist())) == 2 else np.ones(len(y), bool)
-    held = [t for t, r in zip(texts, rest, strict=True) if r]
-    model.curve = _logistic(np.concatenate([model.strongest(p) for _, p in balanced(held)]), y[rest])
-    return model
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Coefficients and constant of a logistic curve: Newton's method with a small ridge, classes weighed alike."""
-    mu, sd = x.mean(axis=0), x.std(axis=0) + 1e-9
-    a = np.column_stack([(x - mu) / sd, np.ones(len(x))])
-    w, beta = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y), np.zeros(a.shape[1])
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        h = (a * (w * p * (1 - p))[:, None]).T @ a + 1e-4 * np.eye(len(beta))
-        beta += np.linalg.solve(h, a.T @ (w * (y - p)) - 1e-4 * beta)
-    slope = beta[:-1] / sd
-    return np.concatenate([slope, [beta[-1] - slope @ mu]])
+            for q, dq, (m, v) in zip((own, w, b), bags.step(own, w, b, decay)[1], state, strict=True):
+                m += 0.1 * (dq - m)
+                v += 0.01 * (dq * dq - v)
+                q -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)).astype(q.dtype)
+    e[:] = 0  # buckets that training didn't see say nothing
+    e[:, bags.used] = own
+    return Model(((w[:, 1] - w[:, 0]) @ e).astype(np.float32), float(b[1] - b[0]))
 
 
 @functools.lru_cache(maxsize=2)
-def _loaded(data: bytes) -> tuple[Model, dict[bytes, float]]:
+def _loaded(data: bytes) -> tuple[Model, dict[bytes, tuple[float, float]]]:
     return pickle.loads(data), {}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = MOST, modulus: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """At most ``sample`` (text, label) of each label, outside the held-out fold: those of least hash, of at most ``most`` bytes.
 
-    The bound is a parameter of the fit; labels are drawn first, and only the drawn texts are
-    collected. Null labels and null ids are left out.
+    Both bounds are parameters of the fit, and bound what the driver collects. Ids are drawn
+    first, one row an id; an id labelled both ways, null labels and null ids are left out, and
+    an id that repeats gives its text of least digest.
     """
-    rows = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
-    rows = rows.where(remainder("id", modulus) != held).select("id", "y", F.xxhash64("id", F.lit("toxic")).alias("h")).distinct()
+    rows = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)").where(remainder("id", modulus) != held)
+    rows = rows.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("id", "y", F.xxhash64("id", F.lit("toxic")).alias("h"))
     drawn = rows.where("y = 0").orderBy("h", "id").limit(sample).unionByName(rows.where("y = 1").orderBy("h", "id").limit(sample))
     small = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).where(F.octet_length("t") <= most)
-    found = small.join(F.broadcast(drawn), F.col("doc") == F.col("id")).select("t", "y", "h").orderBy("h", "t").collect()
-    return [(r.t, r.y) for r in found[: 4 * sample]]
+    found = small.join(F.broadcast(drawn), F.col("doc") == F.col("id")).groupBy("id").agg(F.first("y").alias("y"), F.first("h").alias("h"), F.min(F.struct(F.xxhash64("t"), "t")).alias("t"))
+    return [(r.t, r.y) for r in found.select("t.t", "y", "h", "id").orderBy("h", "id").collect()]
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,10 +205,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, modulus: int = 5, held:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, memo = _loaded(sent.value)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            s = np.full(len(texts), flat) if m is None else np.concatenate([np.zeros(0), *(m.scores(p, memo) for _, p in balanced(texts))])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["id", "score"])
+        for whole in batches:
+            for b in by_bytes(whole, 1, 1_000_000):
+                texts = b.column(1).to_pylist()
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(len(texts), flat) if m is None else m.scores(texts, memo))], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     out = rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, score double")
