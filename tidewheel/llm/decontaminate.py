@@ -10,10 +10,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tidewheel.plans.skew import dealt_join
+from tidewheel.plans.storage import materialize
+
+from .batches import by_bytes
 
 WIDTH, THRESHOLD = 5, 0.8
-BLOCK_BYTES = 16_000_000  # benchmark text that one index holds
+BLOCK_BYTES = 16_000_000  # benchmark text up to which every task gets the whole index
 _SPACED = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,16 +113,78 @@ def _loaded(data: bytes, width: int, threshold: float) -> Index:
     return Index(pickle.loads(data), width, threshold)
 
 
-def indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[bytes]:
-    """The benchmark in blocks of at most about BLOCK_BYTES of text, each to be sent to all tasks.
+def _shingles(words: list[bytes], width: int) -> set[bytes]:
+    return {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
 
-    The size is measured first; a benchmark of any size gives more blocks, not larger ones,
-    and documents are then read once a block.
-    """
-    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+
+def sketch(text: str, width: int = WIDTH, threshold: float = THRESHOLD) -> tuple[int, list[int]]:
+    """(shingle width, bottom-k hashes) of an item; k as in ``Index``. An item without words has width 0."""
+    from xxhash import xxh64_intdigest as h
+
+    words = words_of(text)
+    w = min(width, len(words))
+    s = _shingles(words, w) if w else set()
+    return w, sorted({h(x, w) for x in s})[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1] if w else []
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+
+
+def small_index(items: DataFrame) -> bytes | None:
+    """The benchmark for every task, if its measured size is at most BLOCK_BYTES; else None."""
     total = items.agg(F.sum(F.octet_length("t") + 16).alias("b")).first().b or 0
-    n = -(-total // BLOCK_BYTES)
-    return [pickle.dumps([(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()]) for b in range(n)]
+    return pickle.dumps([(r.i, r.t) for r in items.collect()]) if total <= BLOCK_BYTES else None
+
+
+def joined_hits(texts: DataFrame, items: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(th, i, shared, shingles) for distinct texts (th, t) and items (i, t) of a benchmark of any size.
+
+    Executors make the items' sketches and the documents' shingle hashes, of the widths that
+    sketches have (at most ``width`` many); a join of the hashes finds every candidate, as in
+    ``Index``, and exact shingle sets decide. A hash that very many documents hold is dealt.
+    """
+    wanted = materialize(items.select(F.unhex(F.md5(F.col("t").cast("binary"))).alias("ith"), "t").distinct(), "items")
+
+    def item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(key, w, hash_) for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w, hs in [sketch(t, width, threshold)] for hash_ in hs]
+            k, w, h = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.array(w, pa.int32()), pa.array(np.array(h, np.uint64).view(np.int64))], names=["ith", "w", "h"])
+
+    sketches = materialize(wanted.mapInArrow(item_rows, "ith binary, w int, h long"), "item-sketches")
+    widths = sorted(r.w for r in sketches.select("w").distinct().collect())
+
+    def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest as h
+
+        for b in batches:
+            for key, t in zip(b.column(0), b.column(1), strict=True):
+                words = words_of(t.as_py())
+                found = np.array(sorted({h(x, w) for w in widths for x in _shingles(words, w)}), np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(found), pa.binary()), pa.array(found)], names=["th", "h"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t, item in zip(b.column(2), b.column(3), strict=True):
+                words = words_of(item.as_py())
+                w = min(width, len(words))
+                s = _shingles(words, w)
+                shared = len(s & _shingles(words_of(t.as_py()), w))
+                out.append((shared, len(s), shared >= math.ceil(threshold * len(s) - 1e-9)))
+            shared, n, keep = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared, pa.int64()), pa.array(n, pa.int64())], names=["th", "ith", "shared", "shingles"]).filter(pa.array(keep, pa.bool_()))
+
+    by_hash = sketches.groupBy("h").agg(F.collect_set("ith").alias("iths"))
+    pairs = dealt_join(texts.mapInArrow(text_rows, "th binary, h long"), by_hash, "h", "h").select("th", F.explode("iths").alias("ith")).distinct()
+    both = pairs.join(texts, "th").join(wanted.select("ith", F.col("t").alias("item")), "ith").select("th", "ith", "t", "item")
+    found = both.mapInArrow(verify, "th binary, ith binary, shared long, shingles long")
+    return found.join(items.select("i", F.unhex(F.md5(F.col("t").cast("binary"))).alias("ith")), "ith").select("th", "i", "shared", "shingles")
+
+
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.md5(F.col(text_col).cast("binary")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,14 +193,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
     An item is contained if the document has at least ``threshold`` of its distinct shingles of
     ``width`` words; an item of fewer words is one shingle; one without words is never
     contained. Clean documents have no row. Null texts contain nothing; null ids and repeated
-    rows give their rows like others; either table may be empty.
+    rows give their rows like others; either table may be empty. A benchmark of at most
+    BLOCK_BYTES goes to every task; a larger one is joined, and never meets the driver.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
-    schema = f"id {kind}, item_id long, shared long, shingles long"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for data in indexes(benchmark):
-        out = out.unionByName(rows.mapInArrow(_finder(docs, data, width, threshold), schema))
+    items = _items(benchmark, "item_id", "text")
+    data = small_index(items)
+    if data is not None:
+        out = rows.mapInArrow(_finder(docs, data, width, threshold), f"id {kind}, item_id long, shared long, shingles long")
+    else:
+        rows = rows.withColumn("th", _digest("t"))
+        texts = materialize(rows.select("th", "t").dropDuplicates(["th"]), "texts")
+        hits = joined_hits(texts, items, width, threshold).withColumnRenamed("i", "item_id")
+        out = rows.select("id", "th").join(hits, "th")
     return out.select(F.col("id").alias(id_col), "item_id", "shared", "shingles", (F.col("shared") / F.col("shingles")).alias("containment"))
 
 
@@ -151,15 +224,21 @@ def _finder(docs: DataFrame, data: bytes, width: int, threshold: float):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """docs without the rows that contain an item. Columns stay; nothing is shuffled; null texts stay."""
-    for data in indexes(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(data)
-        at = docs.columns.index(text_col)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, at=at) -> Iterator[pa.RecordBatch]:
-            index = _loaded(sent.value, width, threshold)
-            for b in batches:
+    """docs without the rows that contain an item. Columns and null texts stay; nothing is shuffled, unless the benchmark is over BLOCK_BYTES."""
+    items = _items(benchmark, "item_id", "text")
+    data = small_index(items)
+    if data is None:
+        own = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so no name clashes
+        texts = docs.where(F.col(text_col).isNotNull()).select(_digest(text_col).alias("th"), F.col(text_col).alias("t")).dropDuplicates(["th"])
+        hit = joined_hits(materialize(texts, "texts"), items, width, threshold).select(F.col("th").alias(own)).distinct()
+        return docs.join(hit, _digest(text_col) == F.col(own), "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast(data)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _loaded(sent.value, width, threshold)
+        for whole in batches:
+            for b in by_bytes(whole, at):
                 yield b.filter(pa.array([not index.find(t.as_py() or "") for t in b.column(at)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
