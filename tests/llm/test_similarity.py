@@ -139,6 +139,8 @@ def test_edited_fingerprints(spark):
         assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{a:016x}", f"{e:016x}")
         assert r.near_edited == pytest.approx(like(a, e)) and r.near_next == pytest.approx(like(a, n))
     assert got[1].fingerprint == got[12].fingerprint
+    every = {int(r.fingerprint, 16) for r in got.values()}
+    assert all(r.near_fingerprints == sum(0 < (int(r.fingerprint, 16) ^ f).bit_count() <= 3 for f in every) for r in got.values())
     assert fingerprints.edited_fingerprints(docs.limit(0)).count() == 0
     twice = docs.union(docs)
     assert fingerprints.edited_fingerprints(twice).count() == len(rows)
@@ -157,5 +159,12 @@ def test_block_tables_find_every_pair(spark):
     for radius, blocks in ((3, 5), (2, 4), (0, 1)):
         want = sorted((int(a), int(b), int(d)) for i, a in enumerate(u) for b in u[i + 1 :] if (d := int(np.bitwise_count((a ^ b).view(np.uint64)))) <= radius)
         assert sorted(tuple(r) for r in fingerprints.near_pairs(fps, radius, blocks).collect()) == want
+        around = {int(a): n for a in u if (n := sum(int(a) in p[:2] for p in want))}
+        for tile in (1024, 5):
+            assert {r.v: r.n for r in fingerprints.near_counts(fps, radius, blocks, tile=tile).collect()} == around
     with pytest.raises(ValueError):
         fingerprints.near_pairs(fps, 3, 3)
+    group = spark.createDataFrame([(1 << i | 1 << j,) for i in range(30) for j in range(i)], "fp long")  # one bucket of 435 in most tables
+    all_of = [1 << i | 1 << j for i in range(30) for j in range(i)]
+    assert {r.v: r.n for r in fingerprints.near_counts(group, tile=50).collect()} == {v: sum(0 < (v ^ w).bit_count() <= 3 for w in all_of) for v in all_of}
+    assert fingerprints.near_counts(group.limit(0)).count() == 0

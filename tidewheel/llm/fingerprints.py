@@ -7,9 +7,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.plans.ordering import positions
+from tidewheel.plans.skew import dealt_join
 from tidewheel.plans.storage import materialize
 
 BITS = 64
+RADIUS, BLOCKS = 3, 5
+TILE = 1024  # fingerprints of a bucket that one row holds, twice
 LONGEST = 16  # a term's weight is its squared length, up to this length
 
 
@@ -50,34 +53,77 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.select(F.col("id").alias(id_col), hex16("fp").alias("fingerprint"))
 
 
-def near_pairs(fps: DataFrame, radius: int = 3, blocks: int = 5, fp: str = "fp") -> DataFrame:
-    """(a, b, distance), a < b, of all distinct fingerprints (long) at most ``radius`` bits apart.
-
-    Fingerprints that differ in ``radius`` bits agree on at least ``blocks - radius`` of the
-    blocks. Each choice of that many blocks is a table, permuted so that they are its key;
-    a pair is kept from the first table that holds it, so no pair comes twice.
-    """
+def _tables(radius: int, blocks: int) -> list[int]:
+    """The masks of the block tables: each choice of ``blocks - radius`` of the blocks, on which two fingerprints within the radius agree."""
     if blocks <= radius:
         raise ValueError("more blocks than bits of the radius are needed")
     edge = [round(i * BITS / blocks) for i in range(blocks + 1)]
     mask = [((1 << edge[i + 1]) - (1 << edge[i])) for i in range(blocks)]
     signed = lambda m: m - (1 << 64) if m >= 1 << 63 else m
-    tables = list(combinations(range(blocks), blocks - radius))
-    masks = [signed(sum(mask[i] for i in t)) for t in tables]
+    return [signed(sum(mask[i] for i in t)) for t in combinations(range(blocks), blocks - radius)]
+
+
+def _keyed(fps: DataFrame, fp: str, masks: list[int]) -> DataFrame:
+    """(v, tab, key): every distinct fingerprint in every table."""
     distinct = fps.select(F.col(fp).alias("v")).where("v IS NOT NULL").distinct()
-    rows = distinct.select("v", F.posexplode(F.array(*(F.col("v").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("tab", "key"))
+    return distinct.select("v", F.posexplode(F.array(*(F.col("v").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("tab", "key"))
+
+
+def _first_table(x: Column, masks: list[int]) -> Column:
+    """The first table in which two fingerprints that differ in the bits x meet."""
+    return F.coalesce(*(F.when(x.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(i)) for i, m in enumerate(masks)))
+
+
+def near_counts(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp", tile: int = TILE) -> DataFrame:
+    """(v, n) of each distinct fingerprint (long): how many others are at most ``radius`` bits apart; those without any have no row.
+
+    Block tables as in ``near_pairs``, but pairs are only counted, inside the row of a bucket, so a
+    large group of near fingerprints never becomes a table of its pairs. Buckets over ``tile``
+    are dealt into tiles and compared a pair of tiles at a time. A pair counts in the first
+    table that holds it. Null fingerprints are left out; an empty table gives none.
+    """
+    masks = _tables(radius, blocks)
+    rows = materialize(_keyed(fps, fp, masks).select("v", F.struct("tab", "key").alias("bucket")), "block-tables")
+    counts = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    met = dealt_join(rows, counts, "bucket", "bucket", counts=counts.select(F.col("bucket").alias("key"), "n"))
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    met = met.withColumn("own", F.pmod(F.xxhash64("v"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    side = lambda at: F.collect_list(F.when(F.col("own") == F.col(at), F.col("v"))).alias("a" if at == "i" else "b")
+    groups = met.select("bucket", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).groupBy("bucket", "i", "j").agg(side("i"), side("j"))
+
+    def counted(these: str, those: str) -> Column:
+        def one(v: Column) -> Column:
+            close = lambda w: (w != v) & (F.bit_count(w.bitwiseXOR(v)) <= radius) & (_first_table(w.bitwiseXOR(v), masks) == F.col("bucket.tab"))
+            return F.struct(v.alias("v"), F.size(F.filter(those, close)).alias("n"))
+
+        return F.transform(these, one)
+
+    both = F.concat(counted("a", "b"), F.when(F.col("i") < F.col("j"), counted("b", "a")).otherwise(F.array().cast("array<struct<v:bigint,n:int>>")))
+    return groups.select(F.explode(F.filter(both, lambda x: x["n"] > 0)).alias("x")).groupBy("x.v").agg(F.sum("x.n").alias("n"))
+
+
+def near_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp") -> DataFrame:
+    """(a, b, distance), a < b, of all distinct fingerprints (long) at most ``radius`` bits apart.
+
+    Fingerprints that differ in ``radius`` bits agree on at least ``blocks - radius`` of the
+    blocks. Each choice of that many blocks is a table, permuted so that they are its key;
+    a pair is kept from the first table that holds it, so no pair comes twice. For tables
+    without large groups of near fingerprints; ``near_counts`` has no such condition.
+    """
+    masks = _tables(radius, blocks)
+    rows = _keyed(fps, fp, masks)
     a, b = rows.select(F.col("v").alias("a"), "tab", "key"), rows.select(F.col("v").alias("b"), "tab", "key")
     x = F.col("a").bitwiseXOR(F.col("b"))
-    first = F.coalesce(*(F.when(x.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(i)) for i, m in enumerate(masks)))
     pairs = a.join(b, ["tab", "key"]).where((F.col("a") < F.col("b")) & (F.bit_count(x) <= radius))
-    return pairs.where(F.col("tab") == first).select("a", "b", F.bit_count(x).alias("distance"))
+    return pairs.where(F.col("tab") == _first_table(x, masks)).select("a", "b", F.bit_count(x).alias("distance"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text: the last quarter replaced by the next document's start.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next. Documents follow each other by doc_id (null first, then smallest first), then by a
+    near_next, near_fingerprints (how many other distinct fingerprints of the table are at
+    most RADIUS bits from this one). Documents follow each other by doc_id (null first, then smallest first), then by a
     hash of the text; after the last comes the first. Null text counts as empty. Rows that
     repeat an id and a text are one document, returned once. A lone document is its own next.
 
@@ -107,7 +153,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one = materialize(one, "fingerprints")
     after = one.select(F.col("key").alias("next_key"), F.col("th").alias("next_th"), F.col("fp").alias("nfp"))
     out = one.join(links.select("key", "th", "next_key", "next_th"), ["key", "th"]).join(after, ["next_key", "next_th"])
+    near = near_counts(one.select("fp")).withColumnRenamed("n", "near_fingerprints")
+    out = dealt_join(out, near, "fp", "v", "left", counts=one.groupBy(F.col("fp").alias("key")).agg(F.count(F.lit(1)).alias("n")))
     return out.select(
         F.when(F.col("key") != null, F.col("key")).cast(kind).alias(id_col), F.col("n").alias("n_chars"), F.lower(F.hex("sha")).alias("edited_sha256"), hex16("fp").alias("fingerprint"), hex16("efp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),
+        F.coalesce("near_fingerprints", F.lit(0)).cast("long").alias("near_fingerprints"),
     )
