@@ -104,18 +104,20 @@ CHATS = [(0, 0, "system", "be kind"), (0, 1, "user", "hi é"), (0, 2, "assistant
 
 def test_preferences(spark):
     chats = spark.createDataFrame([(*r, "z") for r in CHATS], "conv_id long, turn long, role string, text string, body string")
-    got = sorted(tuple(r) for r in preferences.preference_format(*preferences.swapped_replies(chats)).collect())
-    by = {(p, part, c): (body, loss) for p, part, c, body, loss in got}
-    assert by[0, "prompt", 0] == ("<|system|>\nbe kind\n<|user|>\nhi é\n", "")
-    assert by[0, "chosen", 0][0] == "<|assistant|>\nhello\n<|user|>\nbye\n" and by[0, "rejected", 0][0] == "<|assistant|>\nother\n"
-    a, z = map(int, by[0, "chosen", 0][1].split(":"))
-    assert by[0, "chosen", 0][0][a:z] == "hello"
-    assert (4, "rejected", 0) not in by and by[4, "prompt", 0][0].endswith("<|assistant|>\nsame\n")
-    assert [c for p, part, c in by if p == 8 and part == "prompt"] == [0, 1, 2]
-    assert not any(p in (2, 6, None) for p, *_ in by)
+    rows = preferences.preference_format(*preferences.swapped_replies(chats)).collect()
+    by = {r.pair_id: r for r in rows}
+    assert sorted(by) == [0, 1, 4, 5, 8, 9] and len(rows) == 6
+    assert by[0].prompt == "<|system|>\nbe kind\n<|user|>\nhi é\n"
+    assert by[0].chosen == "<|assistant|>\nhello\n" and by[0].rejected == "<|assistant|>\nother\n"  # cut alike: the turn after the last reply goes
+    a, z = map(int, by[0].chosen_loss.split(":"))
+    assert by[0].chosen[a:z] == "hello" and by[0].rejected[slice(*map(int, by[0].rejected_loss.split(":")))] == "other"
+    assert by[4].chosen == by[4].rejected == "" and by[4].prompt.endswith("<|assistant|>\nsame\n")
+    assert by[9].rejected == "<|assistant|>\nhello\n"  # after the last comes the first
+    assert by[8].prompt.count("<|user|>") == 75 and by[8].chosen == "<|assistant|>\nt149\n"
     con = duckdb.connect()
     con.register("conversations", chats.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
-    assert sorted(con.execute(ORACLE["op6_preference_format"]).fetchall()) == got
+    assert sorted(con.execute(ORACLE["op6_preference_format"]).fetchall()) == sorted(tuple(r) for r in rows)
+    assert preferences.preference_format(*preferences.swapped_replies(chats.where("conv_id = 0"))).count() == 0
     assert preferences.preference_format(*preferences.swapped_replies(chats.limit(0))).count() == 0
 
 
@@ -142,3 +144,16 @@ def test_many_secrets_in_one_text(spark):
     assert got[1].spans == ",".join(f"assign:{20 * i + 2}:{20 * i + 15}" for i in range(100_000))
     assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {1: "é [secret] and " * 100_000 + "end", 2: "x", 3: "é [secret] and " * 100_000 + "end"}
     assert time.monotonic() - began < 100
+
+
+def test_preferences_that_part_early(spark):
+    turns = lambda t, n: [(1, i, "assistant" if i % 2 else "user", f"{t if i >= 3 else ''}é{i}") for i in range(n)]
+    kind = "pair_id long, turn long, role string, text string"
+    a, b = turns("a", 200), turns("b", 130)
+    got = preferences.preference_format(spark.createDataFrame([*a, (2, 0, "user", "only here")], kind), spark.createDataFrame(b, kind)).collect()
+    text = lambda rows: "".join(f"<|{r}|>\n{t}\n" for _, _, r, t in rows)
+    one, two = sorted(got)
+    assert (one.prompt, one.chosen, one.rejected) == (text(a[:3]), text(a[3:]), text(b[3:]))
+    assert [one.chosen[slice(*map(int, s.split(":")))] for s in one.chosen_loss.split(",")] == [t for _, _, r, t in a[3:] if r == "assistant"]
+    assert [one.rejected[slice(*map(int, s.split(":")))] for s in one.rejected_loss.split(",")] == [t for _, _, r, t in b[3:] if r == "assistant"]
+    assert (two.prompt, two.chosen, two.rejected, two.chosen_loss) == ("", "<|user|>\nonly here\n", "", "")

@@ -80,17 +80,16 @@ FROM d LEFT JOIN g USING (r)""",
 WITH c AS (SELECT DISTINCT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 l AS (SELECT conv_id, max(turn) AS last_turn FROM c WHERE role = 'assistant' GROUP BY conv_id),
 lt AS (SELECT conv_id, last_turn, max(text) AS reply FROM l JOIN c USING (conv_id) WHERE turn = last_turn AND role = 'assistant' GROUP BY ALL),
-p AS (SELECT a.conv_id, a.last_turn, b.reply FROM lt a JOIN lt b ON b.conv_id = xor(a.conv_id, 1)),
+p AS (SELECT conv_id, last_turn, coalesce(lead(reply) OVER (ORDER BY conv_id), first_value(reply) OVER (ORDER BY conv_id)) AS reply FROM lt QUALIFY count(*) OVER () > 1),
 rows AS (
-  SELECT conv_id AS pair_id, turn, 'chosen' AS side, role, text FROM c JOIN p USING (conv_id)
+  SELECT conv_id AS pair_id, turn, 'chosen' AS side, role, text FROM c JOIN p USING (conv_id) WHERE turn <= last_turn
   UNION SELECT conv_id, turn, 'rejected', role, CASE WHEN turn = last_turn AND role = 'assistant' THEN reply ELSE text END FROM c JOIN p USING (conv_id) WHERE turn <= last_turn),
 t AS (SELECT pair_id, turn, list_sort(list({'r': role, 't': text}) FILTER (side = 'chosen')) AS a, list_sort(list({'r': role, 't': text}) FILTER (side = 'rejected')) AS b FROM rows GROUP BY ALL),
 s AS (SELECT pair_id, min(turn) FILTER (a IS DISTINCT FROM b) AS split FROM t GROUP BY pair_id),
-f AS (
-  SELECT DISTINCT pair_id, turn, CASE WHEN split IS NULL OR turn < split THEN 'prompt' ELSE side END AS part, role, text FROM rows JOIN s USING (pair_id)),
-o AS (SELECT pair_id, part, turn // 64 AS chunk, turn, role, text, '<|' || role || '|>' || chr(10) || text || chr(10) AS body FROM f),
-w AS (SELECT *, coalesce(sum(length(body)) OVER (PARTITION BY pair_id, part, chunk ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(role) + 5 AS pos FROM o)
-SELECT pair_id, part, chunk, string_agg(body, '' ORDER BY turn, role, text) AS body,
-  coalesce(string_agg(pos || ':' || (pos + length(text)), ',' ORDER BY turn, role, text) FILTER (part <> 'prompt' AND role = 'assistant'), '') AS loss
-FROM w GROUP BY pair_id, part, chunk""",
+f AS (SELECT DISTINCT pair_id, turn, CASE WHEN split IS NULL OR turn < split THEN 'prompt' ELSE side END AS part, role, text, '<|' || role || '|>' || chr(10) || text || chr(10) AS body FROM rows JOIN s USING (pair_id)),
+w AS (SELECT *, coalesce(sum(length(body)) OVER (PARTITION BY pair_id, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(role) + 5 AS pos FROM f),
+g AS (SELECT pair_id, part, string_agg(body, '' ORDER BY turn, role, text) AS body, coalesce(string_agg(pos || ':' || (pos + length(text)), ',' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss FROM w GROUP BY pair_id, part)
+SELECT pair_id, coalesce(max(body) FILTER (part = 'prompt'), '') AS prompt, coalesce(max(body) FILTER (part = 'chosen'), '') AS chosen, coalesce(max(body) FILTER (part = 'rejected'), '') AS rejected,
+  coalesce(max(loss) FILTER (part = 'chosen'), '') AS chosen_loss, coalesce(max(loss) FILTER (part = 'rejected'), '') AS rejected_loss
+FROM g GROUP BY pair_id""",
 }

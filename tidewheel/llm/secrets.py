@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidewheel.plans.skew import dealt_join, shuffle_parts
 from tidewheel.plans.storage import materialize
 
+from .arrays import bound, in_blocks, running
+
 #: kind -> (rule version, pattern, group whose length counts, least length), in the order of
 #: ties. Fixed values. The class-only patterns carry their least length themselves: a run
 #: that is too short can't hold a longer match of the same class.
@@ -24,28 +26,6 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def bound(value: Column, use) -> Column:
-    """use(value), with value worked out once however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
-def in_blocks(items: Column) -> Column:
-    """An array cut into about as many blocks as each is long.
-
-    Arrays can only grow by being copied. Running sums are therefore made in blocks, and
-    over the blocks: n items cost n times the root of n copies, not n squared.
-    """
-    width = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
-    last = F.greatest(F.ceil(F.size(items) / width) - 1, F.lit(0)).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * width + 1, width))
-
-
-def running(values: Column, step) -> Column:
-    """For each of an array of longs the result of step over those before it, from 0."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("out"))
-    return F.aggregate(values, start, lambda s, x: F.struct(step(s["at"], x).cast("long").alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
-
-
 def spans_of(text: Column, kind: str, rules: dict = RULES) -> Column:
     """Matches of one rule, leftmost first and not overlapping, as array<struct<start, kind, name, end>> in code points.
 
