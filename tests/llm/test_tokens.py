@@ -182,3 +182,38 @@ def test_null_ids_pass(spark):
     assert sorted(r.n_tokens for r in token_counts.token_counts(docs).collect()) == [0, 2, 2]
     assert sorted(r.n_tokens for r in chunk_bpe.round_trip(docs).collect()) == [0, 2, 2]
     assert {r.doc_id for r in token_counts.token_counts(docs).collect()} == {None}
+
+
+def test_a_shard_is_a_row_group(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rnd = random.Random(4)
+    docs = spark.createDataFrame([(i, "".join(rnd.choice(PARTS) for _ in range(300))) for i in range(300)], "doc_id long, text string")
+    token_files.write_tokens(docs, f"file://{tmp_path}/t", shard_bytes=2000)
+    found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{tmp_path}/t/shards/*.parquet")]
+    assert sum(m.num_rows for m in found) == sum(m.num_row_groups for m in found) > 50
+    assert not glob.glob(f"{tmp_path}/t/frames")
+    assert token_files.read_tokens(spark, f"file://{tmp_path}/t").count() == 300
+
+
+def test_dictionary_of_distinct_texts(spark, library):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
+    rows = [" ".join(rnd.choice(words) for _ in range(200)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows + [rows[0]] * 3000)], "doc_id long, text string")
+    once = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    made = token_files.train_dictionary(docs, tokenizer_path())
+    assert made == token_files.train_dictionary(once, tokenizer_path()) and len(made) > 2000
+    with pytest.warns(UserWarning, match="no dictionary"):
+        assert token_files.train_dictionary(docs.limit(0), tokenizer_path()) == b""
+
+
+def test_tied_ids_have_one_order(spark, tmp_path):
+    rows = [(1, f"text {i}") for i in range(40)] + [(None, "x")][:0]
+    out = []
+    for k, r in enumerate((rows, rows[::-1])):
+        token_files.write_tokens(spark.createDataFrame(r, "doc_id long, text string").repartition(3 + k), f"file://{tmp_path}/{k}")
+        out.append(sorted((r.start, r.ids_crc32) for r in token_files.read_tokens(spark, f"file://{tmp_path}/{k}").collect()))
+    assert out[0] == out[1]

@@ -138,7 +138,11 @@ def decode_documents(encoded: DataFrame, path: str | None = None, id_col: str =
 
 
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encodes and decodes every text in one pass, and returns digests."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encodes and decodes every text in one pass, and returns digests.
+
+    Null text counts as empty. Null ids, repeated rows and an empty table pass through; extra
+    columns are ignored.
+    """
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import struct
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -20,11 +21,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidewheel.plans.storage import delete
+
+from .batches import by_bytes
 from .bpe import encode, load, tokenizer_path
 
 MAGIC = b"TWTOK001"
 HEAD = struct.Struct("<8s32sq")
 LEVEL = 3
+SHARD_BYTES = 1_000_000  # frames of a shard; what a read of one document fetches
+#: Every row of the shard files is a row group, so a filter on the ids of a shard reads that shard alone.
+ROW_GROUPS = {"compression": "uncompressed", "parquet.block.size": "1", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.row.count.limit": "1"}
 
 
 def pack_shard(dictionary_hash: bytes, doc_ids: list[int], counts: list[int], frames: list[bytes]) -> bytes:
@@ -81,22 +88,24 @@ def train_dictionary(docs: DataFrame, path: str, sample: int = 400, most: int =
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     small = docs.select(text.alias("t")).where(F.octet_length("t") <= most).select(F.xxhash64("t").alias("h"), "t")
-    last = small.select("h").orderBy("h").limit(sample).agg(F.max("h").alias("h")).first().h  # hashes alone meet on the way
-    rows = small.where(F.col("h") <= F.lit(last)).orderBy("h", "t").limit(sample).collect() if last is not None else []
+    last = small.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h").alias("h")).first().h  # hashes alone meet on the way
+    rows = small.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(sample).collect() if last is not None else []
     enc, tail = load(path), [] if end_id is None else [end_id]
     arrays = [np.asarray([*encode(enc, r.t), *tail], "<u4").tobytes() for r in rows]
     try:
         return z.train_dictionary(size, arrays).as_bytes()
-    except z.ZstdError:
+    except z.ZstdError as e:
+        warnings.warn(f"no dictionary could be trained on {len(arrays)} texts ({e}): documents are compressed without one", stacklevel=2)
         return b""
 
 
-def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 4_000_000) -> None:
+def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
     """Encode every text, append end_id, and write shards in ascending doc_id order to ``out``.
 
     Texts are encoded once and where they lie; only compressed frames are sorted. Null text
     counts as empty (the end id alone); rows with a null id are refused, as the order and the
-    index need one; rows of equal id stand next to each other. Extra columns are ignored.
+    index need one; rows of equal id stand next to each other, by a hash of their text, so that the
+    files are the same in every run. Extra columns are ignored.
     An empty table writes an empty set of shards.
     """
     spark = docs.sparkSession
@@ -108,13 +117,14 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, z = load(path), compressor(dictionary)
-        for b in batches:
-            n, f = [], []
-            for t in b.column(1):
-                ids = np.concatenate([np.asarray(encode(enc, t.as_py()), "<u4"), tail])
-                n.append(len(ids))
-                f.append(z.compress(ids.tobytes()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(f, pa.binary())], names=["id", "n", "frame"])
+        for whole in batches:
+            for b in by_bytes(whole, 2):
+                n, f = [], []
+                for t in b.column(2):
+                    ids = np.concatenate([np.asarray(encode(enc, t.as_py()), "<u4"), tail])
+                    n.append(len(ids))
+                    f.append(z.compress(ids.tobytes()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(f, pa.binary())], names=["id", "h", "n", "frame"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts, held, size, seq = [], [], [], 0, 0
@@ -124,7 +134,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int
             return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in row), pa.array([pack_shard(digest, ids, counts, held)], pa.binary())], names=["seq", "first_id", "last_id", "n_tokens", "shard"])
 
         for b in batches:
-            for i, n, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for i, n, f in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if size and size + len(f) > shard_bytes:
                     yield done()
                     ids, counts, held, size, seq = [], [], [], 0, seq + 1
@@ -136,11 +146,12 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int
             yield done()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.select(F.when(F.col("id").isNull(), F.raise_error(F.lit("a document without an id"))).otherwise(F.col("id")).cast("long").alias("id"), "t")
-    rows.mapInArrow(frames, "id long, n long, frame binary").write.option("compression", "uncompressed").parquet(f"{out}/frames")
+    rows = rows.select(F.when(F.col("id").isNull(), F.raise_error(F.lit("a document without an id"))).otherwise(F.col("id")).cast("long").alias("id"), F.xxhash64("t").alias("h"), "t")
+    rows.mapInArrow(frames, "id long, h long, n long, frame binary").write.option("compression", "uncompressed").parquet(f"{out}/frames")
     kept = spark.read.parquet(f"{out}/frames")
-    ordered = kept.repartitionByRange("id").sortWithinPartitions("id")
-    ordered.mapInArrow(shards, "seq long, first_id long, last_id long, n_tokens long, shard binary").withColumn("part", F.spark_partition_id()).write.option("compression", "uncompressed").parquet(f"{out}/shards")
+    ordered = kept.repartitionByRange("id", "h").sortWithinPartitions("id", "h")
+    ordered.mapInArrow(shards, "seq long, first_id long, last_id long, n_tokens long, shard binary").withColumn("part", F.spark_partition_id()).write.options(**ROW_GROUPS).parquet(f"{out}/shards")
+    delete(spark, f"{out}/frames")
 
 
 def read_tokens(spark: SparkSession, out: str) -> DataFrame:
@@ -148,7 +159,8 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
 
     ``start`` counts the ids of all documents before it: ids before the range, plus ids before
     the shard in its range, plus ids before the document in its shard. The window without a
-    key sees one row a range, the keyed one a row for some megabytes of ids.
+    key sees one row a range, the keyed one a row a shard. Rows come back once each, repeated
+    ones too; the files of an empty table give an empty result.
     """
     dictionary = bytes(spark.read.parquet(f"{out}/dictionary").first().body)
     files = spark.read.parquet(f"{out}/shards")
@@ -173,7 +185,7 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
 
 
 def read_document(spark: SparkSession, out: str, doc_id: int) -> list[int] | None:
-    """The ids of one document: one shard is fetched, one frame decompressed. None if there is no such document."""
+    """The ids of one document, the first one if its id repeats: one shard is fetched, one frame decompressed. None if there is no such document."""
     files = spark.read.parquet(f"{out}/shards").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
     dictionary = bytes(spark.read.parquet(f"{out}/dictionary").first().body)
     for row in files.orderBy("part", "seq").limit(1).collect():
