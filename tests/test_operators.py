@@ -278,3 +278,45 @@ def test_no_temporary_folder_off_a_local_master():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
             shared_dir(SimpleNamespace(conf=nothing, sparkContext=SimpleNamespace(master=master, getConf=lambda: nothing)))
+
+
+def _km(a, b):
+    from math import asin, cos, radians, sin, sqrt
+
+    p, q = radians(b[0] - a[0]) / 2, radians(b[1] - a[1]) / 2
+    return 2 * 6371.0 * asin(min(1.0, sqrt(sin(p) ** 2 + cos(radians(a[0])) * cos(radians(b[0])) * sin(q) ** 2)))
+
+
+def test_radius_anywhere_on_the_globe(spark):
+    rnd = random.Random(2)
+    spots = [(0.0, 179.9999), (0.0, -179.9999), (75.0, 10.0), (75.0, 10.02), (89.9999, 0.0), (89.9999, 180.0), (-89.9995, -90.0), (45.5, -73.5), (45.5003, -73.5), (-45.0, 180.0), (-45.0, -180.0)]
+    spots += [(rnd.choice([0, 45, 60, 75, 89.9, -80]) + rnd.uniform(-0.02, 0.02), rnd.choice([0, 179.99, -179.99, 100]) + rnd.uniform(-0.02, 0.02)) for _ in range(150)]
+    points = spark.createDataFrame([(i, *x) for i, x in enumerate(spots)] + [(999, None, 1.0)], "id long, lat double, lon double")
+    for km in (0.05, 1.0, 700.0):
+        got = {(r.id, r.target_id) for r in places.within_radius(points, points, km).collect()}
+        want = {(i, j) for i, a in enumerate(spots) for j, b in enumerate(spots) if _km(a, b) <= km}
+        assert got == want, km
+        assert places.within_radius(points, points, km).count() == len(want)
+    near = {r.id: r.metres for r in places.nearest_all(points.where("lat IS NOT NULL"), points.where("id > 20"), small=5).collect()}
+    assert near == {i: pytest.approx(min(_km(a, b) for j, b in enumerate(spots) if j > 20) * 1000, abs=0.02) for i, a in enumerate(spots)}
+
+
+def test_live_rows_of_one_station_are_matched_each(spark):
+    mapping = spark.createDataFrame([("STN_1", "a", "45.000000,-73.000000", 45.0, -73.0), ("STN_2", "b", "45.100000,-73.000000", 45.1, -73.0)], "canonical_station_id string, normalized_name string, coord_key string, canonical_lat double, canonical_lon double")
+    feed = spark.createDataFrame([("7", "A", 45.001, -73.0), ("7", "B", 45.101, -73.0), ("7", "A", 45.001, -73.0), ("8", "z", 45.1003, -73.0), ("9", None, 10.0, 10.0)], "station_id string, name string, lat double, lon double")
+    got = sorted((r.station_id, r.canonical_station_id or "", r.match_method or "") for r in places.live_match(feed, mapping).collect())
+    assert got == [("7", "STN_1", "name_near"), ("7", "STN_2", "name_near"), ("8", "STN_2", "nearest"), ("9", "", "")]
+
+
+def test_quantiles(spark):
+    from tidewheel.plans import quantiles
+
+    rnd = random.Random(1)
+    rows = [(rnd.choice("ab"), float(rnd.randrange(50))) for _ in range(500)] + [("c", 3.0), ("d", None), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    ps = (0.0, 0.1, 0.25, 0.5, 0.95, 1.0)
+    got = {r.k: r for r in quantiles.ranked(df, "x", "k").groupBy("k").agg(*(quantiles.quantile(p).alias(f"q{i}") for i, p in enumerate(ps)), quantiles.rows().alias("n"), quantiles.mean().alias("m")).collect()}
+    for r in df.where("x IS NOT NULL").groupBy("k").agg(*(F.percentile("x", p).alias(f"q{i}") for i, p in enumerate(ps)), F.count("x").alias("n"), F.avg("x").alias("m")).collect():
+        assert tuple(got.pop(r.k)) == pytest.approx(tuple(r))
+    assert not got
+    assert quantiles.ranked(df.limit(0), "x").agg(quantiles.quantile(0.5).alias("q"), quantiles.rows().alias("n")).first() == (None, 0)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidewheel.functions import geo, similarity, text, timefn
 from tidewheel.plans.graph import connected_components
 from tidewheel.plans.ordering import positions
+from tidewheel.plans.storage import materialize
 from tidewheel.sources.files import write_parquet
 
 from .core import asc, desc, first_per_key, metric_table
@@ -92,6 +93,7 @@ def station_groups(pairs: DataFrame, within_km: float = PAIR_KM) -> DataFrame:
 
 def canonical_mapping(obs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The mapping of every observation to a canonical station: group votes, anchors, ids by trips."""
+    obs = materialize(obs, "observations")  # read in four places
     coords = obs.groupBy("coord_key", "lat", "lon").agg(F.sum("trip_count").alias("coord_total_trips"))
     if groups is None:
         grouped = coords.withColumn("group_id", F.lit(None).cast("string"))

@@ -136,15 +136,17 @@ def dead_periods(events: DataFrame, empty_after: int = 3) -> DataFrame:
     Risk of a run is its length times the station's mean hourly departures; a run is probably
     empty if less arrived than left in the day before it, else probably full.
     """
-    d = dense_outflow(events).withColumn("mean", F.avg("n").over(Window.partitionBy("station")))
+    grid = dense_outflow(events).select("station", "hour", F.col("n").alias("left"), F.lit(0).cast("long").alias("came"), F.lit(1).alias("on_grid"))
+    came = events.where(arrives()).groupBy("station", timefn.hour_start(F.col("ts")).alias("hour")).agg(F.count(F.lit(1)).alias("came"))
+    rows = grid.unionByName(came.select("station", "hour", F.lit(0).cast("long").alias("left"), "came", F.lit(0).alias("on_grid")))
+    h = rows.groupBy("station", "hour").agg(F.sum("left").alias("n"), F.sum("came").alias("came"), F.max("on_grid").alias("on_grid"))
+    number = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ '1970-01-01 00:00:00', hour)")
+    day = Window.partitionBy("station").orderBy(number).rangeBetween(-24, -1)
+    h = h.withColumns({"came": F.coalesce(F.sum("came").over(day), F.lit(0)), "left": F.coalesce(F.sum("n").over(day), F.lit(0))}).where("on_grid = 1")
     by_hour = Window.partitionBy("station").orderBy("hour")
-    d = d.withColumn("island", F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(by_hour)).where("n = 0")
-    runs = d.groupBy("station", "island").agg(F.min("hour").alias("since"), F.count(F.lit(1)).alias("hours"), F.max("mean").alias("mean")).where(F.col("hours") >= empty_after)
-    day = F.expr("INTERVAL 24 HOURS")
-    near = events.select(F.col("station").alias("s"), "ts", "direction")
-    joined = runs.join(near, (F.col("station") == F.col("s")) & (F.col("ts") >= F.col("since") - day) & (F.col("ts") < F.col("since")), "left")
-    out = joined.groupBy("station", "since", "hours", "mean").agg(F.count_if(arrives()).alias("came"), F.count_if(leaves()).alias("left"))
-    return out.select("station", "since", "hours", (F.col("hours") * F.col("mean")).alias("risk"), F.when(F.col("came") < F.col("left"), "empty").otherwise("full").alias("probably"))
+    h = h.withColumn("mean", F.avg("n").over(Window.partitionBy("station"))).withColumn("island", F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(by_hour)).where("n = 0")
+    runs = h.groupBy("station", "island").agg(F.min("hour").alias("since"), F.count(F.lit(1)).alias("hours"), F.max("mean").alias("mean"), F.min_by("came", "hour").alias("came"), F.min_by("left", "hour").alias("left")).where(F.col("hours") >= empty_after)
+    return runs.select("station", "since", "hours", (F.col("hours") * F.col("mean")).alias("risk"), F.when(F.col("came") < F.col("left"), "empty").otherwise("full").alias("probably"))
 
 
 def early_warnings(events: DataFrame, fast: int = 4, empty_after: int = 3) -> DataFrame:

@@ -2,40 +2,82 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.functions import geo, text
+from tidewheel.plans.storage import materialize
 from tidewheel.schemas import MAPPING_COLUMNS, require
 
 from .core import asc, desc, first_per_key, top
 from .profile import median_fill
 
 
-def nearest_all(points: DataFrame, targets: DataFrame) -> DataFrame:
-    """points (id, lat, lon) with the distance to the nearest of the targets (lat, lon), in metres to 2 places.
-
-    All pairs: for a target list of known, small size (metro stations).
-    """
-    t = targets.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
-    d = points.crossJoin(t).withColumn("m", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
-    return d.groupBy("id").agg(F.round(F.min("m"), 2).alias("metres"))
-
-
-def _cell(c: Column, degrees: float) -> Column:
-    return F.floor(c / F.lit(degrees)).cast("long")
+SMALL = 10_000  # targets up to which every point is held against all of them
 
 
-def within_radius(points: DataFrame, targets: DataFrame, km: float, furthest_north: float = 60.0) -> DataFrame:
-    """(id, target_id, km) of all pairs within km: a grid equi join, cells at least km wide up to a latitude."""
-    import math
+def nearest_all(points: DataFrame, targets: DataFrame, small: int = SMALL) -> DataFrame:
+    """points (id, lat, lon) with the distance to the nearest of the targets (lat, lon), in metres to 2 places.
 
-    dlat = km / 111.0
-    dlon = dlat / math.cos(math.radians(furthest_north))
-    p = points.select("id", "lat", "lon", _cell(F.col("lat"), dlat).alias("cy"), _cell(F.col("lon"), dlon).alias("cx"))
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    t = targets.select(F.col("id").alias("target_id"), F.col("lat").alias("tlat"), F.col("lon").alias("tlon"), F.explode(around).alias("o"))
-    t = t.select("target_id", "tlat", "tlon", (_cell(F.col("tlat"), dlat) + F.col("o.i")).alias("cy"), (_cell(F.col("tlon"), dlon) + F.col("o.j")).alias("cx"))
-    return p.join(t, ["cy", "cx"]).select("id", "target_id", geo.haversine_km(F.col("lat"), F.col("lon"), F.col("tlat"), F.col("tlon")).alias("km")).where(F.col("km") <= km)
+    Up to ``small`` targets (counted first; metro stations, say) go to every task. Of more, points
+    are searched in rings that double until each point has a target. Without targets there is no row.
+    """
+    t = targets.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).where("__lat IS NOT NULL AND __lon IS NOT NULL")
+    if t.limit(small + 1).count() <= small:
+        d = points.crossJoin(F.broadcast(t)).withColumn("m", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
+        return d.groupBy("id").agg(F.round(F.min("m"), 2).alias("metres"))
+    t = t.select(F.struct("__lat", "__lon").alias("id"), F.col("__lat").alias("lat"), F.col("__lon").alias("lon")).distinct()
+    left, found, km = materialize(points.select("id", "lat", "lon").distinct(), "points"), [], 1.0
+    while not left.isEmpty() and km < 2 * HALF_ROUND_KM:
+        near = materialize(within_radius(left, t, km).groupBy("id").agg(F.round(F.min("km") * 1000, 2).alias("metres")), "nearest")
+        found.append(near)
+        left, km = materialize(left.join(near, "id", "left_anti"), "points"), km * 2
+    return reduce(DataFrame.unionByName, found).groupBy("id").agg(F.min("metres").alias("metres"))
+
+
+HALF_ROUND_KM = 20_016.0  # no two places are further apart
+KM_A_DEGREE = 111.0  # a little less than there are
+
+
+def within_radius(points: DataFrame, targets: DataFrame, km: float) -> DataFrame:
+    """(id, target_id, km) of all pairs within km, anywhere on the globe: an equi join on a grid.
+
+    Bands of latitude are a little over km high. A band has as many cells around the globe as
+    keep each of them km wide at its end nearest a pole; one at the poles. A target goes to the
+    cells of its own and the neighbouring bands that its reach in longitude touches, around
+    +-180 too; a point lies in one cell. Null coordinates match nothing.
+    """
+    height = km / KM_A_DEGREE
+    band = F.floor(F.col("lat") / F.lit(height)).cast("long")
+
+    def cells(b: Column) -> Column:
+        pole = F.least(F.greatest(F.abs(b), F.abs(b + 1)) * F.lit(height), F.lit(90.0))
+        return F.greatest(F.floor(F.cos(F.radians(pole)) * F.lit(360.0 / height)), F.lit(1)).cast("long")
+
+    place = lambda lon, n: F.floor((lon + 180) * n / 360).cast("long")
+    p = points.select("id", "lat", "lon", band.alias("band")).withColumn("cell", F.pmod(place(F.col("lon"), cells(F.col("band"))), cells(F.col("band"))))
+    t = targets.select(F.col("id").alias("target_id"), F.col("lat").alias("tlat"), F.col("lon").alias("tlon"), F.explode(F.sequence(band - 1, band + 1)).alias("band"))
+    arc = km / KM_A_DEGREE
+    spread = F.lit(math.sin(math.radians(min(arc, 90.0)))) / F.cos(F.radians(F.col("tlat")))
+    reach = F.when((F.abs("tlat") + arc >= 90) | (spread >= 1), F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(spread, F.lit(1.0)))))
+    n = cells(F.col("band"))
+    first, last = place(F.col("tlon") - reach, n), place(F.col("tlon") + reach, n)
+    around = F.when(last - first + 1 >= n, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.transform(F.sequence(first, last), lambda c: F.pmod(c, n)))
+    t = t.where("tlat IS NOT NULL AND tlon IS NOT NULL").select("target_id", "tlat", "tlon", "band", F.explode(around).alias("cell"))
+    return p.join(t, ["band", "cell"]).select("id", "target_id", geo.haversine_km(F.col("lat"), F.col("lon"), F.col("tlat"), F.col("tlon")).alias("km")).where(F.col("km") <= km)
+
+
+def within_degrees(points: DataFrame, degrees: float) -> DataFrame:
+    """(a, b, deg) of all pairs of points (id, lat, lon), a before b, less than ``degrees`` of plain distance apart: an equi join on a grid."""
+    cell = lambda c: F.floor(F.col(c) / F.lit(degrees)).cast("long")
+    p = points.select(F.col("id").alias("a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"), cell("lat").alias("cy"), cell("lon").alias("cx"))
+    near = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    q = points.select(F.col("id").alias("b"), F.col("lat").alias("blat"), F.col("lon").alias("blon"), cell("lat").alias("y"), cell("lon").alias("x"), F.explode(near).alias("o"))
+    q = q.select("b", "blat", "blon", (F.col("y") + F.col("o.i")).alias("cy"), (F.col("x") + F.col("o.j")).alias("cx"))
+    d = geo.degree_distance(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon"))
+    return p.join(q, ["cy", "cx"]).where("a < b").select("a", "b", d.alias("deg")).where(F.col("deg") < degrees)
 
 
 def around_hub(points: DataFrame, hub_lat: Column, hub_lon: Column, metres: float = 400.0) -> DataFrame:
@@ -45,23 +87,26 @@ def around_hub(points: DataFrame, hub_lat: Column, hub_lon: Column, metres: floa
 
 
 def live_match(feed: DataFrame, mapping: DataFrame, name_km: float = 0.20, near_km: float = 0.05) -> DataFrame:
-    """feed (station_id, name, lat, lon) with a canonical station each: by coordinate, else by name within name_km, else by nearness within near_km."""
+    """feed (station_id, name, lat, lon) with a canonical station each: by coordinate, else by name within name_km, else by nearness within near_km.
+
+    Rows that repeat in all four columns count once; others are matched each by itself, whatever their station_id.
+    """
     require(mapping, MAPPING_COLUMNS)
-    f = feed.select("station_id", "name", text.normalize_name(F.col("name"), nbsp=True).alias("normalized_name"), "lat", "lon", geo.coord_key(F.col("lat"), F.col("lon")).alias("coord_key"))
-    m = mapping.select(*MAPPING_COLUMNS).distinct()
-    exact = first_per_key(m.select("coord_key", F.col("canonical_station_id").alias("a_id")), ["coord_key"], asc("a_id"))
-    a = f.join(exact, "coord_key", "left")
+    f = feed.select("station_id", "name", text.normalize_name(F.col("name"), nbsp=True).alias("normalized_name"), "lat", "lon", geo.coord_key(F.col("lat"), F.col("lon")).alias("coord_key")).distinct()
+    m = materialize(mapping.select(*MAPPING_COLUMNS).distinct(), "mapping")
+    exact = m.groupBy("coord_key").agg(F.min("canonical_station_id").alias("a_id"))
+    a = materialize(f.join(exact, "coord_key", "left").withColumn("row", F.struct(*f.columns)), "exact-matches")
     found = a.where("a_id IS NOT NULL").select(*f.columns, F.col("a_id").alias("canonical_station_id"), F.lit("coord_exact").alias("match_method"), F.lit(0.0).alias("match_distance_km"))
-    left = a.where("a_id IS NULL").select(*f.columns)
+    left = a.where("a_id IS NULL").drop("a_id")
     km = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("canonical_lat"), F.col("canonical_lon"))
     named = left.join(m.drop("coord_key").distinct(), "normalized_name").withColumn("km", km).where(F.col("km") <= name_km)
-    b = first_per_key(named, ["station_id"], asc("km"), asc("canonical_station_id")).select(*f.columns, "canonical_station_id", F.lit("name_near").alias("match_method"), F.col("km").alias("match_distance_km"))
-    rest = left.join(b, "station_id", "left_anti")
+    b = materialize(first_per_key(named, ["row"], asc("km"), asc("canonical_station_id")), "name-matches")
+    rest = left.join(b.select("row"), "row", "left_anti")
     centers = m.select(F.col("canonical_station_id").alias("id"), F.col("canonical_lat").alias("lat"), F.col("canonical_lon").alias("lon")).distinct()
-    near = within_radius(rest.select(F.col("station_id").alias("id"), "lat", "lon"), centers, near_km)
-    near = first_per_key(near, ["id"], asc("km"), asc("target_id"))
-    c = rest.join(near, F.col("station_id") == F.col("id"), "left")
+    near = first_per_key(within_radius(rest.select(F.col("row").alias("id"), "lat", "lon"), centers, near_km), ["id"], asc("km"), asc("target_id"))
+    c = rest.join(near, F.col("row") == F.col("id"), "left")
     c = c.select(*f.columns, F.col("target_id").alias("canonical_station_id"), F.when(F.col("target_id").isNotNull(), "nearest").alias("match_method"), F.col("km").alias("match_distance_km"))
+    b = b.select(*f.columns, "canonical_station_id", F.lit("name_near").alias("match_method"), F.col("km").alias("match_distance_km"))
     return found.unionByName(b).unionByName(c).drop("coord_key")
 
 

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewheel.plans import quantiles
+
 from .core import metric_table
 
 
@@ -25,9 +27,9 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, count, mean, std, min, q1, median, q3, max), exact."""
     long = df.select(*(F.col(c).cast("double") for c in columns)).unpivot([], columns, "column", "v")
-    q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = long.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), q.alias("q"), F.max("v").alias("max"))
-    return g.select("column", "count", "mean", "std", "min", *(F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))), "max")
+    g = long.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+    q = quantiles.ranked(long, "v", "column").groupBy("column").agg(F.min("v").alias("min"), F.max("v").alias("max"), *(quantiles.quantile(p).alias(n) for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))))
+    return g.join(q, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -44,7 +46,7 @@ def trip_rules() -> dict[str, Column]:
 
 
 def median_fill(df: DataFrame, column: str) -> DataFrame:
-    m = df.agg(F.median(column).alias("__m"))
+    m = quantiles.ranked(df, column).agg(quantiles.quantile(0.5).alias("__m"))
     return df.crossJoin(F.broadcast(m)).withColumn(column, F.coalesce(F.col(column).cast("double"), "__m")).drop("__m")
 
 
@@ -61,11 +63,11 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def box(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, and whiskers at the last values within 1.5 interquartile ranges."""
-    v = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    q = v.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(*(F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))))
+    r = quantiles.ranked(df.select(F.col(column).cast("double").alias("x")), "x")
+    q = r.agg(*(quantiles.quantile(p).alias(n) for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - reach) & (F.col("v") <= F.col("q3") + reach)
-    return v.crossJoin(F.broadcast(q)).groupBy("q1", "median", "q3").agg(F.min(F.when(inside, F.col("v"))).alias("low"), F.max(F.when(inside, F.col("v"))).alias("high"), F.count_if(~inside).alias("outliers"))
+    return r.crossJoin(F.broadcast(q)).groupBy("q1", "median", "q3").agg(F.min(F.when(inside, F.col("v"))).alias("low"), F.max(F.when(inside, F.col("v"))).alias("high"), quantiles.rows_where(~inside).alias("outliers"))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.functions import geo, timefn
 from tidewheel.functions.timefn import instant
+from tidewheel.plans import quantiles
 
 from .core import asc, concat, desc, share_of_total, top
 
@@ -75,18 +76,20 @@ def hub_connectivity(trips: DataFrame, n: int = 30) -> DataFrame:
     return top(out, n, desc("destinations"), desc("n"), *map(asc, START))
 
 
+def _ranked_durations(trips: DataFrame) -> DataFrame:
+    return quantiles.ranked(trips.select(duration().alias("d")), "d")
+
+
 def duration_stats(trips: DataFrame) -> DataFrame:
-    d = trips.select(duration().alias("d"))
-    p = F.percentile("d", F.array(*(F.lit(x) for x in (0.25, 0.5, 0.75, 0.95, 0.99))))
-    one = d.agg(F.min("d").alias("min_ms"), F.max("d").alias("max_ms"), F.avg("d").alias("avg_ms"), p.alias("p"))
-    return one.select("min_ms", "max_ms", "avg_ms", *(F.col("p")[i].alias(f"p{k}") for i, k in enumerate((25, 50, 75, 95, 99))))
+    return _ranked_durations(trips).agg(F.min("v").alias("min_ms"), F.max("v").alias("max_ms"), quantiles.mean().alias("avg_ms"), *(quantiles.quantile(k / 100).alias(f"p{k}") for k in (25, 50, 75, 95, 99)))
 
 
 def iqr_outliers(trips: DataFrame) -> DataFrame:
-    d = trips.select(duration().alias("d"))
-    q = d.agg(F.percentile("d", F.array(F.lit(0.25), F.lit(0.75))).alias("q")).select((F.col("q")[0] - 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("lower"), (F.col("q")[1] + 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("upper"))
-    out = d.crossJoin(F.broadcast(q)).groupBy("lower", "upper").agg(F.count_if(F.col("d") < F.col("lower")).alias("below"), F.count_if(F.col("d") > F.col("upper")).alias("above"), F.count("d").alias("n"))
-    return out.withColumn("percentage", (F.col("below") + F.col("above")) * F.lit(100.0) / F.col("n"))
+    r = _ranked_durations(trips)
+    q = r.agg(quantiles.quantile(0.25).alias("a"), quantiles.quantile(0.75).alias("z"))
+    q = q.select((F.col("a") - 1.5 * (F.col("z") - F.col("a"))).alias("lower"), (F.col("z") + 1.5 * (F.col("z") - F.col("a"))).alias("upper"))
+    out = r.crossJoin(F.broadcast(q)).groupBy("lower", "upper").agg(quantiles.rows_where(F.col("v") < F.col("lower")).alias("below"), quantiles.rows_where(F.col("v") > F.col("upper")).alias("above"), F.sum("n").alias("rows"))
+    return out.select("lower", "upper", "below", "above", F.col("rows").alias("n"), ((F.col("below") + F.col("above")) * F.lit(100.0) / F.col("rows")).alias("percentage"))
 
 
 def same_station() -> Column:
@@ -114,8 +117,9 @@ def by_kind(routes: DataFrame) -> DataFrame:
 
 
 def duration_subset(trips: DataFrame, where: Column, unit_ms: float = 60_000.0) -> DataFrame:
-    d = trips.where(where).select((duration() / F.lit(unit_ms)).alias("d"))
-    return d.agg(F.count("d").alias("n"), F.avg("d").alias("mean"), F.median("d").alias("median"), F.min("d").alias("lo"), F.max("d").alias("hi"), *(F.percentile("d", p / 100).alias(f"p{p}") for p in (25, 75, 90, 95, 99)))
+    r = quantiles.ranked(trips.where(where).select((duration() / F.lit(unit_ms)).alias("d")), "d")
+    q = (quantiles.quantile(p / 100).alias(f"p{p}") for p in (25, 75, 90, 95, 99))
+    return r.agg(quantiles.rows().alias("n"), quantiles.mean().alias("mean"), quantiles.quantile(0.5).alias("median"), F.min("v").alias("lo"), F.max("v").alias("hi"), *q)
 
 
 def validity(trips: DataFrame, depot: str = "cyclo", short_ms: int = SHORT_MS, long_ms: int = LONG_MS) -> DataFrame:
@@ -178,6 +182,6 @@ def distance_by_district(trips: DataFrame) -> DataFrame:
 
 def trimmed(trips: DataFrame, p: float = 0.99) -> DataFrame:
     """Count, mean and largest of the durations up to a percentile."""
-    d = trips.select(duration().alias("d"))
-    cut = d.agg(F.percentile("d", p).alias("cut"))
-    return d.crossJoin(F.broadcast(cut)).where("d <= cut").agg(count(), F.avg("d").alias("mean"), F.max("d").alias("hi"))
+    r = _ranked_durations(trips)
+    cut = r.agg(quantiles.quantile(p).alias("cut"))
+    return r.crossJoin(F.broadcast(cut)).where("v <= cut").agg(quantiles.rows().alias("n"), quantiles.mean().alias("mean"), F.max("v").alias("hi"))

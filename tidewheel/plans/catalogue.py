@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.functions import geo, similarity, text, timefn
 from tidewheel.operators import core, entity, flow, layers, places, profile, trips as tr
+from tidewheel.plans.ordering import merge_by_position
 from tidewheel.sources.adapter import EVENTS_SQL, TIERS_SQL, TRIPS_SQL, station_events, station_tiers, table, trips
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -260,7 +261,7 @@ def _points(t: DataFrame) -> DataFrame:
 on_trips("nearest_neighbour", lambda t: places.nearest_all(_points(t), _points(t).where("id LIKE '%BUILDING'")), f"WITH {_PT}, z AS (SELECT x.name AS id, {_H} AS h FROM pts x, pts y WHERE y.name LIKE '%BUILDING') SELECT id, round(min({M}), 2) AS metres FROM z GROUP BY 1")
 on_trips("radius_join", lambda t: places.within_radius(_points(t), _points(t).where("id LIKE '%BUILDING'"), 0.5), f"WITH {_PT}, z AS (SELECT x.name AS id, y.name AS target_id, {KM.format(a='x.latitude', b='x.longitude', c='y.latitude', d='y.longitude')} AS km FROM pts x, pts y WHERE y.name LIKE '%BUILDING') SELECT * FROM z WHERE km <= 0.5")
 on_trips("hub_radius", lambda t: places.around_hub(_points(t), F.lit(45.4), F.lit(-73.7), 2000.0).select("id", "metres", "role"), f"WITH {_PT}, z AS (SELECT x.name AS id, {_H.replace('y.latitude', '45.4::DOUBLE').replace('y.longitude', '(-73.7)::DOUBLE')} AS h FROM pts x), w AS (SELECT id, {M} AS metres FROM z) SELECT id, metres, CASE WHEN metres = 0 THEN 'hub' ELSE 'spillover' END AS role FROM w WHERE metres <= 2000")
-on_trips("degree_pairs", lambda t: (p := _points(t)).alias("a").join(p.alias("b"), F.col("a.id") < F.col("b.id")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), geo.degree_distance(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")).alias("deg")).where("deg < 0.003"), f"WITH {_PT}, z AS (SELECT x.name AS a, y.name AS b, sqrt(pow(y.latitude - x.latitude, 2) + pow(y.longitude - x.longitude, 2)) AS deg FROM pts x JOIN pts y ON x.name < y.name) SELECT * FROM z WHERE deg < 0.003")
+on_trips("degree_pairs", lambda t: places.within_degrees(_points(t), 0.003), f"WITH {_PT}, z AS (SELECT x.name AS a, y.name AS b, sqrt(pow(y.latitude - x.latitude, 2) + pow(y.longitude - x.longitude, 2)) AS deg FROM pts x JOIN pts y ON x.name < y.name) SELECT * FROM z WHERE deg < 0.003")
 add("haversine_stats", lambda s, d: table(s, d, "embeddings").select("vec_id", (F.col("embedding")[0].cast("double") + 45).alias("a"), (F.col("embedding")[1].cast("double") - 73).alias("b")).select("vec_id", geo.haversine_km(F.col("a"), F.col("b"), F.lit(45.5), F.lit(-73.5)).alias("km"), geo.haversine_m(F.col("a"), F.col("b"), F.lit(45.5), F.lit(-73.5)).alias("metres"), geo.coord_key(F.col("a"), F.col("b")).alias("key")), f"WITH x AS (SELECT vec_id, embedding[1]::DOUBLE + 45 AS latitude, embedding[2]::DOUBLE - 73 AS longitude FROM embeddings), y AS (SELECT 45.5::DOUBLE AS latitude, -73.5::DOUBLE AS longitude), z AS (SELECT x.*, {_H} AS h FROM x, y) SELECT vec_id, 2 * 6371.0::DOUBLE * asin(sqrt(least(1, h))) AS km, {M} AS metres, printf('%.6f,%.6f', round(latitude, 6), round(longitude, 6)) AS key FROM z")
 add("float_coordinates", lambda s, d: table(s, d, "embeddings").select(F.col("embedding")[0].cast("float").alias("x"), "label").groupBy((F.col("x") == F.col("x").cast("double").cast("float")).alias("same"), (F.col("x") > F.lit(0).cast("float")).alias("positive")).agg(tr.count()), "SELECT embedding[1] = embedding[1]::DOUBLE::FLOAT AS same, embedding[1] > 0::FLOAT AS positive, count(*) AS n FROM embeddings GROUP BY ALL")
 
@@ -268,14 +269,27 @@ add("float_coordinates", lambda s, d: table(s, d, "embeddings").select(F.col("em
 def _live(s: SparkSession, d: str) -> DataFrame:
     t = trips(s, d)
     m = entity.canonical_mapping(entity.observations(t)).select("canonical_station_id", "normalized_name", "coord_key", "canonical_lat", "canonical_lon")
-    k = F.crc32(F.col("id").cast("binary")) % 4
+    k = F.length("id") % 4
     shift = F.when(k == 1, 0.001).when(k == 2, 0.0003).when(k == 3, 0.7).otherwise(0.0)
     feed = _points(t).select(F.col("id").alias("station_id"), F.when(k == 2, "elsewhere").otherwise(F.col("id")).alias("name"), (F.col("lat") + shift).alias("lat"), F.col("lon").alias("lon"))
     return places.live_match(feed, m)
 
 
-add("live_match", _live)
-add("live_coverage", lambda s, d: places.coverage(_live(s, d)))
+_LIVE_KM = KM.format(a="w.lat", b="w.lon", c="m.clat", d="m.clon")
+_LIVE = f"""{_O}, cs AS (SELECT coord_key, sum(trip_count)::BIGINT AS n FROM obs GROUP BY 1),
+ids AS (SELECT coord_key, printf('STN_%04d', row_number() OVER (ORDER BY n DESC, coord_key)) AS cid, split_part(coord_key, ',', 1)::DOUBLE AS clat, split_part(coord_key, ',', 2)::DOUBLE AS clon FROM cs),
+m AS (SELECT DISTINCT cid, normalized_name, coord_key, clat, clon FROM obs JOIN ids USING (coord_key)), {_PT},
+fd AS (SELECT DISTINCT name AS station_id, CASE WHEN length(name) % 4 = 2 THEN 'elsewhere' ELSE name END AS name, latitude + CASE length(name) % 4 WHEN 1 THEN 0.001::DOUBLE WHEN 2 THEN 0.0003::DOUBLE WHEN 3 THEN 0.7::DOUBLE ELSE 0.0::DOUBLE END AS lat, longitude AS lon FROM pts),
+f AS (SELECT *, {_NORM.format(x='name')} AS normalized_name, printf('%.6f,%.6f', round(lat, 6), round(lon, 6)) AS coord_key, row_number() OVER () AS r FROM fd),
+ex AS (SELECT coord_key, min(cid) AS cid FROM m GROUP BY 1), w AS (SELECT * FROM f ANTI JOIN ex USING (coord_key)),
+nm AS (SELECT w.r, m.cid, {_LIVE_KM} AS km FROM w JOIN (SELECT DISTINCT cid, normalized_name, clat, clon FROM m) m USING (normalized_name)),
+nb AS (SELECT * FROM nm WHERE km <= 0.2 QUALIFY row_number() OVER (PARTITION BY r ORDER BY km, cid) = 1),
+nr AS (SELECT w.r, m.cid, {_LIVE_KM} AS km FROM w, (SELECT DISTINCT cid, clat, clon FROM m) m WHERE w.r NOT IN (SELECT r FROM nb)),
+nc AS (SELECT * FROM nr WHERE km <= 0.05 QUALIFY row_number() OVER (PARTITION BY r ORDER BY km, cid) = 1),
+lm AS (SELECT station_id, name, normalized_name, lat, lon, coalesce(ex.cid, nb.cid, nc.cid) AS canonical_station_id, CASE WHEN ex.cid IS NOT NULL THEN 'coord_exact' WHEN nb.cid IS NOT NULL THEN 'name_near' WHEN nc.cid IS NOT NULL THEN 'nearest' END AS match_method,
+  CASE WHEN ex.cid IS NOT NULL THEN 0.0::DOUBLE ELSE coalesce(nb.km, nc.km) END AS match_distance_km FROM f LEFT JOIN ex USING (coord_key) LEFT JOIN nb USING (r) LEFT JOIN nc USING (r))"""
+add("live_match", _live, f"{_LIVE} SELECT * FROM lm", "t")
+add("live_coverage", lambda s, d: places.coverage(_live(s, d)), f"{_LIVE} SELECT coalesce(match_method, 'unmatched') AS method, count(*) AS n, avg(match_distance_km) AS avg_km FROM lm GROUP BY 1", "t")
 _INFO = "SELECT s_suppkey AS station_id, s_suppkey % 7 AS num_bikes_available, s_suppkey % 5 AS num_docks_available, s_suppkey % 12 AS capacity FROM supplier"
 
 
@@ -321,5 +335,13 @@ add("value_counts", lambda s, d: table(s, d, "lineitem").groupBy("l_returnflag")
 add("any_value_per_group", lambda s, d: table(s, d, "customer").groupBy("c_mktsegment").agg(F.min("c_name").alias("a_name"), F.array_join(F.sort_array(F.collect_set("c_nationkey")).cast("array<string>"), ",").alias("nations")), "SELECT c_mktsegment, min(c_name) AS a_name, array_to_string(list_sort(list_distinct(list(c_nationkey))), ',') AS nations FROM customer GROUP BY ALL")
 add("first_row_per_key", lambda s, d: core.first_per_key(table(s, d, "orders"), ["o_custkey"], core.desc("o_totalprice"), core.asc("o_orderkey")).select("o_custkey", "o_orderkey", "o_totalprice"), "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1")
 add("partition_totals", lambda s, d: table(s, d, "orders").select("o_orderkey", F.sum("o_totalprice").over(w := Window.partitionBy("o_custkey")).alias("total"), F.count(F.lit(1)).over(w).alias("orders")), "SELECT o_orderkey, sum(o_totalprice) OVER (PARTITION BY o_custkey) AS total, count(*) OVER (PARTITION BY o_custkey) AS orders FROM orders")
-add("anti_join", lambda s, d: table(s, d, "customer").join(table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey"), "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+add("anti_join", lambda s, d: table(s, d, "customer").join(table(s, d, "orders").where("o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey"), "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 add("concat_frames", lambda s, d: core.concat([table(s, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_nationkey").alias("nation")), table(s, d, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_nationkey").alias("nation"))]).groupBy("kind", "nation").agg(tr.count()), "SELECT kind, nation, count(*) AS n FROM (SELECT 'customer' AS kind, c_nationkey AS nation FROM customer UNION ALL SELECT 'supplier', s_nationkey FROM supplier) GROUP BY ALL")
+_TRIP_COLUMNS = [f"{p}_station_{c}" for p in ("start", "end") for c in ("name", "district", "latitude", "longitude")] + ["start_time_ms", "end_time_ms"]
+on_trips("trip_null_report", profile.null_report, " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls, count(*) FILTER ({c} IS NULL) * 100.0::DOUBLE / count(*) AS percentage FROM trips" for c in _TRIP_COLUMNS))
+_MOVED = "CASE WHEN start_station_district = 'ASIA' AND start_time_ms < 788918400000 THEN start_station_latitude + 0.01::DOUBLE ELSE start_station_latitude END"
+on_trips(
+    "moved_name_conflicts", lambda t: entity.name_conflicts(entity.canonical_mapping(entity.observations(t.withColumn("start_station_latitude", F.expr(_MOVED.replace("::DOUBLE", "D")))))),
+    f"WITH mv AS (SELECT * REPLACE ({_MOVED} AS start_station_latitude) FROM trips), {OBS.format(t='mv')} SELECT normalized_name, count(DISTINCT coord_key) AS canonical_id_count, sum(trip_count)::BIGINT AS total_trips FROM obs GROUP BY 1 HAVING canonical_id_count > 1",
+)
+add("positional_merge", lambda s, d: merge_by_position(table(s, d, "customer").select("c_custkey"), table(s, d, "supplier").select("s_suppkey"), ["c_custkey"], ["s_suppkey"]).select("pos", "c_custkey", F.coalesce("s_suppkey", F.lit(-1)).alias("s_suppkey")), "SELECT pos, c_custkey, coalesce(s_suppkey, -1) AS s_suppkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer) FULL JOIN (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS pos FROM supplier) USING (pos)")
