@@ -217,3 +217,21 @@ def test_tied_ids_have_one_order(spark, tmp_path):
         token_files.write_tokens(spark.createDataFrame(r, "doc_id long, text string").repartition(3 + k), f"file://{tmp_path}/{k}")
         out.append(sorted((r.start, r.ids_crc32) for r in token_files.read_tokens(spark, f"file://{tmp_path}/{k}").collect()))
     assert out[0] == out[1]
+
+
+def test_chunks_of_texts_without_spaces_are_reused(library):
+    rnd = random.Random(12)
+    body = "".join("".join(chr(rnd.randrange(0x5000, 0x9000)) for _ in range(rnd.randint(2, 9))) + rnd.choice("，。、\n") for _ in range(2000))
+    enc = chunk_bpe.ChunkEncoder(tokenizer_path())
+    for text in (body, "前言" + body, body[500:] + "。" + body[:500]):
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert enc.reused > enc.seen / 2
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([*PARTS, "。", "，", "五", "\u4dc0", "\u2003", "\u205f", "\x85", "\x0b", "'t", "x" * 40]), max_size=80).map("".join))
+def test_boundaries_in_bytes_are_safe(text):
+    data = text.encode()
+    want = _library().encode(text, add_special_tokens=False).ids
+    ends = [0, *(m.start() for m in chunk_bpe.BOUNDARY.finditer(data)), len(data)]
+    assert [i for a, z in zip(ends, ends[1:], strict=False) for i in _library().encode(data[a:z].decode(), add_special_tokens=False).ids] == want

@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, functions as F
 from .batches import by_bytes
 from .bpe import encode_part, load, tokenizer_path
 
-#: A space after printable ASCII: a safe boundary that is seen in bytes.
-BOUNDARY = re.compile(rb"(?<=[!-~])(?= )")
-LAST_BOUNDARY = re.compile(rb".*[!-~](?= )", re.DOTALL)
+#: Safe boundaries that are seen in bytes: white space after a character that isn't white space
+#: (no pre-token goes on over it), and a Chinese comma or full stop after a Chinese letter.
+BOUNDARY = re.compile(
+    rb"(?<=[!-~\x80-\xbf])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80)(?=[ \t-\r])"
+    rb"|(?<=[\xe5-\xe8][\x80-\xbf][\x80-\xbf])(?=\xe3\x80[\x81\x82]|\xef\xbc\x8c)"
+)
 
 
 @functools.cache
@@ -43,8 +46,9 @@ class ChunkEncoder:
 
     A chunk keeps the ids of its middle, from its first to its last safe boundary. At each
     join the window is widened, left and right, until both of its ends are safe boundaries;
-    it is encoded anew there, and beyond its ends old and new ids agree by construction.
-    A chunk without two boundaries goes into the window whole. Memos are bounded by bytes.
+    it is encoded anew there, and beyond its ends old and new ids agree exactly, as no
+    pre-token crosses a boundary whatever stands on its other side. A chunk without two
+    boundaries goes into the window whole. Memos are bounded by bytes.
     """
 
     def __init__(self, path: str, max_bytes: int = 16_000_000):
@@ -57,10 +61,10 @@ class ChunkEncoder:
         return np.asarray(encode_part(self.enc, piece.decode("utf-8")), "<u4").tobytes()
 
     def _chunk(self, c: bytes) -> tuple[int, int, bytes] | None:
-        first, last = BOUNDARY.search(c), LAST_BOUNDARY.match(c)
-        if not first or last.end() <= first.end():
+        found = [m.start() for m in BOUNDARY.finditer(c)]
+        if len(found) < 2:
             return None
-        return first.end(), last.end(), self._ids(c[first.end() : last.end()])
+        return found[0], found[-1], self._ids(c[found[0] : found[-1]])
 
     def _join(self, span: bytes) -> bytes:
         ids = self.joins.get(span)
