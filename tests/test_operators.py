@@ -320,3 +320,89 @@ def test_quantiles(spark):
         assert tuple(got.pop(r.k)) == pytest.approx(tuple(r))
     assert not got
     assert quantiles.ranked(df.limit(0), "x").agg(quantiles.quantile(0.5).alias("q"), quantiles.rows().alias("n")).first() == (None, 0)
+
+
+def test_readers_of_small_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{GOOD}\n{GOOD}\n{GOOD}\n")
+    assert files.read_csv_head(spark, f"{tmp_path}/a.csv", 2).count() == 2 and files.csv_header(spark, f"{tmp_path}/a.csv") == list(schemas.RENAME)
+    (tmp_path / "dim.csv").write_text("station_name_standardized,latitude,longitude,elevation_meters,nearest_metro_dist_meters,capacity\nA,45.5,-73.5,30.5,120.25,19\n")
+    assert tuple(files.read_dimension(spark, f"{tmp_path}/dim.csv").first()) == ("A", 45.5, -73.5, 30.5, 120.25, 19.0)
+    (tmp_path / "status.json").write_text(json.dumps({"data": {"stations": [{"station_id": "1", "num_bikes_available": 3, "num_docks_available": 4}]}}))
+    assert tuple(files.read_live_status(spark, f"{tmp_path}/status.json").first()) == ("1", 3, 4)
+    (tmp_path / "metro.json").write_text(json.dumps({"elements": [{"lat": 45.5, "lon": -73.6}, {"id": 9}]}))
+    assert [tuple(r) for r in files.read_metro(spark, f"{tmp_path}/metro.json").collect()] == [(45.5, -73.6)]
+
+
+def test_frames_by_name_schema_and_sample(spark):
+    df = spark.range(50).selectExpr("id", "id * 0.5D AS x", "cast(id AS string) AS s")
+    files.register(df, "numbers")
+    assert spark.sql("SELECT sum(id) AS t FROM numbers").first().t == 1225
+    assert [tuple(r) for r in files.schema_table(df).collect()] == [(0, "id", "bigint", False), (1, "x", "double", False), (2, "s", "string", False)]
+    from pyspark.sql import types as T
+
+    assert schemas.columns_of_type(df, T.StringType) == ["s"] and schemas.columns_of_type(df, (T.LongType, T.DoubleType)) == ["id", "x"]
+    a = sorted(r.id for r in files.sample_rows(df.coalesce(1), 7).collect())
+    assert len(set(a)) == 7 and a == sorted(r.id for r in files.sample_rows(df.coalesce(1), 7).collect())
+
+
+@pytest.fixture
+def service():
+    """A local stand-in for the public services."""
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from threading import Thread
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            lat = self.path.rpartition("=")[2].partition(",")[0]
+            bodies = {"1.0": {"results": [{"elevation": 12.5}]}, "2.0": {"results": [{"elevation": None}]}, "3.0": {"error": "x"}}
+            body = json.dumps(bodies.get(lat, {"elements": [{"lat": 45.0, "lon": -73.0}]})).encode()
+            self.send_response(500 if lat == "4.0" else 200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", asked
+    server.shutdown()
+
+
+def test_elevations_are_null_where_the_service_fails(spark, service, tmp_path):
+    url, asked = service
+    places_ = spark.createDataFrame([(x, 5.0) for x in (1.0, 1.0, 2.0, 3.0, 4.0, None)], "latitude double, longitude double")
+    got = {r.latitude: r.elevation_meters for r in files.lookup_elevations(places_, url + "/v1?locations={latitude},{longitude}").collect()}
+    assert got == {1.0: 12.5, 2.0: None, 3.0: None, 4.0: None, None: None} and len(asked) == 4
+    assert files.lookup_elevations(places_.limit(1), "http://127.0.0.1:1/{latitude}{longitude}", 0.5).first().elevation_meters is None
+    assert [tuple(r) for r in files.land_metro(spark, f"file://{tmp_path}/metro", "Québec", url).collect()] == [(45.0, -73.0)]
+    assert "Qu%C3%A9bec" in asked[-1]
+
+
+def test_first_in_input_order(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("k,v\nb,1\na,2\nb,3\na,4\n")
+    df = spark.read.option("header", True).csv(f"{tmp_path}/x.csv")
+    assert sorted(tuple(r) for r in core.first_in_input(df, ["k"]).collect()) == [("a", "2"), ("b", "1")]
+    assert core.first_in_input(df, ["k", "v"]).count() == 4
+
+
+def test_common_tokens_are_dealt(spark):
+    obs = spark.createDataFrame([(f"main {'east' if i % 2 else 'west'} {i}", 45.0 + i, -73.0, i) for i in range(60)] + [("alone", 1.0, 1.0, 9)], "normalized_name string, primary_lat double, primary_lon double, total_name_trips long")
+    got = {t: sorted((r.left_normalized_name, r.right_normalized_name) for r in entity.blocked_pairs(obs, t).collect()) for t in (1000, 7)}
+    assert got[7] == got[1000] and len(got[7]) == len(set(got[7])) == 60 * 59 // 2
+
+
+def test_artifacts_and_streamed_velocity(spark, tmp_path):
+    mapping = _canon(spark).selectExpr("*", "1L AS canonical_total_trips", "'c' AS canonical_coord_key", "upper(normalized_name) AS raw_name", "5L AS trip_count", "2024 AS first_year_seen", "2025 AS last_year_seen")
+    entity.export(mapping, f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out/station_canonical_mapping").count() == mapping.count()
+    assert spark.read.parquet(f"{tmp_path}/out/station_canonical_summary").count() > 0
+    rows = [("s", dt.datetime(2024, 5, 1, 10, m), "in" if m % 3 else "out") for m in range(30)] + [("s", dt.datetime(2024, 5, 1, 20, 0), "in")]
+    spark.createDataFrame(rows, "station string, ts timestamp, direction string").write.parquet(f"{tmp_path}/ev")
+    stream = spark.readStream.schema("station string, ts timestamp, direction string").parquet(f"{tmp_path}/ev")
+    q = live.hourly_velocity(stream).writeStream.format("memory").queryName("speeds").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted((r.inflow, r.outflow) for r in spark.table("speeds").collect()) == [(1, 0), (20, 10)]

@@ -29,6 +29,20 @@ def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__rn = 1").drop("__rn")
 
 
+def first_in_input(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key: the first as df is read (file order for a file scan; a frame without an order of its own has any)."""
+    at = df.withColumn("__at", F.monotonically_increasing_id())
+    rest = [c for c in df.columns if c not in keys]
+    first = at.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(c) for c in rest)), "__at").alias("__row")) if rest else df.distinct()
+    return first.select(*keys, *(F.col(f"__row.{c}") for c in rest)).select(*df.columns) if rest else first
+
+
+def full_outer(left: DataFrame, right: DataFrame, keys: list[str], fill: int = 0) -> DataFrame:
+    """Full outer equi join on one or more keys; what a side lacks is ``fill``."""
+    out = left.join(right, keys, "full")
+    return out.withColumns({c: F.coalesce(c, F.lit(fill)) for c in out.columns if c not in keys})
+
+
 def share_of_total(df: DataFrame, count: str, alias: str = "percentage") -> DataFrame:
     """df, small, with each row's percentage of the column's sum."""
     total = df.agg(F.sum(count).alias("__total"))

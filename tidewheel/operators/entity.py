@@ -60,14 +60,23 @@ def _scored(pairs: DataFrame, left: str, right: str, partial_udf, ratio: float,
     return s.withColumn("max_score", F.round(F.greatest(*scores), 4)).withColumns({c: F.round(c, 4) for c in scores})
 
 
-def blocked_pairs(profile: DataFrame) -> DataFrame:
-    """Pairs (left_*, right_*) of different primary coordinates that share a blocking token; left has more trips."""
-    p = profile.withColumn("token", F.explode(text.blocking_tokens(F.col("normalized_name"))))
-    side = lambda s: p.select("token", *(F.col(c).alias(f"{s}_{c}") for c in profile.columns))
-    a, b = side("left"), side("right")
+def blocked_pairs(profile: DataFrame, tile: int = 1000) -> DataFrame:
+    """Pairs (left_*, right_*) of different primary coordinates that share a blocking token; left has more trips.
+
+    A pair comes from the least token that it shares, so none comes twice. Names of a token
+    that more than ``tile`` names hold are dealt into tiles on the left side, and go to each of
+    them on the right, so no task holds all pairs of a common token.
+    """
+    p = profile.withColumn("tokens", text.blocking_tokens(F.col("normalized_name"))).withColumn("token", F.explode("tokens"))
+    tiles = p.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    p = p.join(tiles, "token")
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in (*profile.columns, "tokens")]
+    a = p.select("token", F.pmod(F.xxhash64("normalized_name"), F.col("tiles")).cast("int").alias("tile"), *side("left"))
+    b = p.select("token", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), *side("right"))
     before = (F.col("left_total_name_trips") > F.col("right_total_name_trips")) | ((F.col("left_total_name_trips") == F.col("right_total_name_trips")) & (F.col("left_normalized_name") < F.col("right_normalized_name")))
     apart = ~((F.col("left_primary_lat") == F.col("right_primary_lat")) & (F.col("left_primary_lon") == F.col("right_primary_lon")))
-    return a.join(b, "token").where(before & apart).drop("token").dropDuplicates(["left_normalized_name", "right_normalized_name"])
+    once = F.col("token") == F.array_min(F.array_intersect("left_tokens", "right_tokens"))
+    return a.join(b, ["token", "tile"]).where(before & apart & once).drop("token", "tile", "left_tokens", "right_tokens")
 
 
 def similar_names(profile: DataFrame, ratio: float = 0.80, partial: float = 0.85, overlap: float = 0.80) -> DataFrame:

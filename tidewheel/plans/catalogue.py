@@ -345,3 +345,13 @@ on_trips(
     f"WITH mv AS (SELECT * REPLACE ({_MOVED} AS start_station_latitude) FROM trips), {OBS.format(t='mv')} SELECT normalized_name, count(DISTINCT coord_key) AS canonical_id_count, sum(trip_count)::BIGINT AS total_trips FROM obs GROUP BY 1 HAVING canonical_id_count > 1",
 )
 add("positional_merge", lambda s, d: merge_by_position(table(s, d, "customer").select("c_custkey"), table(s, d, "supplier").select("s_suppkey"), ["c_custkey"], ["s_suppkey"]).select("pos", "c_custkey", F.coalesce("s_suppkey", F.lit(-1)).alias("s_suppkey")), "SELECT pos, c_custkey, coalesce(s_suppkey, -1) AS s_suppkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer) FULL JOIN (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS pos FROM supplier) USING (pos)")
+
+
+def _flows(s: SparkSession, d: str) -> DataFrame:
+    """Departures and arrivals by tier and hour, counted apart and joined on both keys."""
+    e = station_events(s, d).join(station_tiers(s, d), "station").select(flow.tier(F.col("metres")).alias("tier"), timefn.hour(F.col("ts")).alias("hour"), "direction")
+    of = lambda way, name: e.where(F.col("direction") == way).groupBy("tier", "hour").agg(F.count(F.lit(1)).alias(name))
+    return core.full_outer(of("out", "departures").where("hour < 20"), of("in", "arrivals").where("hour > 3"), ["tier", "hour"])
+
+
+add("two_key_full_outer", _flows, f"WITH f AS (SELECT {_TIER} AS tier, hour(ts) AS hour, direction FROM ev JOIN tiers USING (station)), o AS (SELECT tier, hour, count(*) AS departures FROM f WHERE direction = 'out' AND hour < 20 GROUP BY ALL), i AS (SELECT tier, hour, count(*) AS arrivals FROM f WHERE direction = 'in' AND hour > 3 GROUP BY ALL) SELECT tier, hour, coalesce(departures, 0) AS departures, coalesce(arrivals, 0) AS arrivals FROM o FULL JOIN i USING (tier, hour)", "e")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidewheel import schemas
@@ -91,16 +92,56 @@ def read_metro(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.METRO).option("multiLine", True).json(path).select(F.explode("elements").alias("e")).select("e.lat", "e.lon").where("lat IS NOT NULL AND lon IS NOT NULL")
 
 
-def land_feed(spark: SparkSession, url: str, path: str, timeout: float = 10.0) -> str:
-    """Fetch a JSON feed once, on the driver, and land it as a file that executors read. Returns path."""
+def land_feed(spark: SparkSession, url: str, path: str, timeout: float = 10.0, params: dict[str, str] | None = None) -> str:
+    """Fetch a JSON document once, on the driver, and land it as a file that executors read. Returns path."""
+    import urllib.parse
     import urllib.request
 
-    with urllib.request.urlopen(url, timeout=timeout) as r:
+    with urllib.request.urlopen(url + ("?" + urllib.parse.urlencode(params) if params else ""), timeout=timeout) as r:
         body = r.read().decode("utf-8")
     spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
 
 
+# Addresses and the request of the public map and elevation services.
+MAP_SERVICE = "http://overpass-api.de/api/interpreter"
+METRO_REQUEST = '[out:json];area["name"="{city}"]->.searchArea;node["railway"="station"]["station"="subway"](area.searchArea);out center;'
+ELEVATION_SERVICE = "https://api.opentopodata.org/v1/mapzen?locations={latitude},{longitude}"
+
+
+def land_metro(spark: SparkSession, path: str, city: str = "Montréal", url: str = MAP_SERVICE, timeout: float = 60.0) -> DataFrame:
+    """Metro stations of a city as (lat, lon), asked from the map service once and landed at path."""
+    return read_metro(spark, land_feed(spark, url, path, timeout, {"data": METRO_REQUEST.replace("{city}", city)}))
+
+
+def lookup_elevations(places: DataFrame, url: str = ELEVATION_SERVICE, timeout: float = 10.0) -> DataFrame:
+    """(latitude, longitude, elevation_meters) of each distinct place, one request each, from the executors.
+
+    A request that fails, times out or answers without an elevation gives null and stops nothing.
+    Land the result before it is joined: a task that runs again asks again.
+    """
+
+    def ask(latitude: float, longitude: float) -> float | None:
+        import json
+        import urllib.request
+
+        try:
+            with urllib.request.urlopen(url.format(latitude=latitude, longitude=longitude), timeout=timeout) as r:
+                found = json.load(r)["results"][0]["elevation"]
+            return None if found is None else float(found)
+        except Exception:  # noqa: BLE001  no elevation, whatever the reason
+            return None
+
+    def run(batches):
+        for b in batches:
+            x, y = b.column(0).to_pylist(), b.column(1).to_pylist()
+            found = [None if i is None or j is None else ask(i, j) for i, j in zip(x, y, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.float64())], names=["latitude", "longitude", "elevation_meters"])
+
+    distinct = places.select(F.col("latitude").cast("double"), F.col("longitude").cast("double")).distinct()
+    return distinct.mapInArrow(run, "latitude double, longitude double, elevation_meters double")
+
+
 def register(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
