@@ -68,9 +68,10 @@ def test_areas_in_tiles_against_brute_force(spark, monkeypatch):
     rows += [(i + 1000, t) for i, t in rows[:30]]
     want, _ = _kept(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for tile, size in ((4096, 16_000_000), (7, 16_000_000), (4096, 3000)):
+    for tile, size, split in ((4096, 16_000_000, 512), (7, 16_000_000, 512), (4096, 3000, 512), (4096, 16_000_000, 20)):
         monkeypatch.setattr(near_copies, "TILE", tile)
         monkeypatch.setattr(near_copies, "TILE_BYTES", size)
+        monkeypatch.setattr(near_copies, "SPLIT", split)
         assert sorted(r.doc_id for r in near_copies.keep_one(docs).collect()) == sorted(rows[i][0] for i in want.values())
 
 

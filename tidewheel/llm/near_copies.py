@@ -24,6 +24,7 @@ from .near_dups import _out, forests, in_buckets, runs
 SEED, WIDTH, THRESHOLD = 42, 5, 0.8
 BANDS, ROWS = 24, 5  # a similarity of 0.8 shares a band with probability 0.9999
 RADIUS = 18  # bits; at 0.8, fingerprints differ in 9.7 on average, with a standard deviation of 2.9
+SPLIT = 512  # rows of an area from which it is dealt to more tasks than its size alone asks for, by the square root
 TILE, TILE_BYTES = 4096, 16_000_000  # rows of a bucket, or rows and bytes of an area, that one task takes at a time, twice
 _MULTIPLIERS = np.random.default_rng(20240517).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -145,7 +146,8 @@ def similar_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: st
     """
     found = areas(classes, radius)
     inside = materialize(found.join(classes.drop("bands"), "node").withColumn("key", F.xxhash64("component")).drop("component"), "areas")  # areas of equal keys are only compared more
-    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("size") / TILE_BYTES)).cast("int")
+    n = F.count(F.lit(1))
+    tiles = F.ceil(F.greatest(F.when(n > SPLIT, F.sqrt(n / 64)).otherwise(1), n / TILE, F.sum("size") / TILE_BYTES)).cast("int")
     sizes = inside.groupBy("key").agg(tiles.alias("tiles")).where("tiles > 1")
     dealt = inside.join(sizes, "key", "left").withColumn("own", F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles"))).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))))
