@@ -21,6 +21,19 @@ BOUNDARY = re.compile(
     rb"|(?<=[\xe5-\xe8][\x80-\xbf][\x80-\xbf])(?=\xe3\x80[\x81\x82]|\xef\xbc\x8c)"
 )
 
+#: The commonest kind alone, which is found faster: a space after printable ASCII.
+PLAIN_BOUNDARY = re.compile(rb"(?<=[!-~])(?= )")
+LAST_PLAIN_BOUNDARY = re.compile(rb".*[!-~](?= )", re.DOTALL)
+
+
+def ends_of(chunk: bytes) -> tuple[int, int] | None:
+    """Two safe boundaries of a chunk, far apart: plain ones if it has two, else its first and last of any kind."""
+    first, last = PLAIN_BOUNDARY.search(chunk), LAST_PLAIN_BOUNDARY.match(chunk)
+    if first and last.end() > first.end():
+        return first.end(), last.end()
+    found = [m.start() for m in BOUNDARY.finditer(chunk)]
+    return (found[0], found[-1]) if len(found) > 1 else None
+
 
 @functools.cache
 def _gear() -> np.ndarray:
@@ -61,10 +74,8 @@ class ChunkEncoder:
         return np.asarray(encode_part(self.enc, piece.decode("utf-8")), "<u4").tobytes()
 
     def _chunk(self, c: bytes) -> tuple[int, int, bytes] | None:
-        found = [m.start() for m in BOUNDARY.finditer(c)]
-        if len(found) < 2:
-            return None
-        return found[0], found[-1], self._ids(c[found[0] : found[-1]])
+        ends = ends_of(c)
+        return ends and (*ends, self._ids(c[ends[0] : ends[1]]))
 
     def _join(self, span: bytes) -> bytes:
         ids = self.joins.get(span)
