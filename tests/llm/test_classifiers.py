@@ -121,3 +121,28 @@ def test_sample_has_a_row_an_id(tables):
     got = toxicity.labelled_sample(docs.union(docs), twice, sample=10)
     assert len(got) == 20 and sum(y for _, y in got) == 10
     assert len(toxicity.labelled_sample(docs.union(docs), twice)) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(240) if i != 12)
+
+
+def test_quality_query_against_a_plain_fit(tables):
+    docs, labels = tables
+    y = {r.doc_id: r.quality for r in labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").collect()}
+    rows = [(r.doc_id, quality.statistics(r.text or "")) for r in docs.collect()]
+    train = [(np.array(x), y[i]) for i, x in rows if i in y and zlib.crc32(str(i).encode()) % 3 != 1]
+    x = [np.array([v for v, k in train if k == c]) for c in (0, 1)]
+    own = [np.cov(a.T, bias=True) for a in x]
+    pooled = sum(len(a) * c for a, c in zip(x, own, strict=True)) / len(train)
+    spread = np.diag(np.diag(pooled) + 1e-6)
+    every = np.concatenate(x)
+
+    def density(v, c):
+        cov = 0.8 * own[c] + 0.2 * pooled + 1e-3 * spread + 1e-9 * np.eye(len(v))
+        d = v - x[c].mean(axis=0)
+        return np.log(len(x[c]) / len(train)) - 0.5 * (np.linalg.slogdet(cov)[1] + d @ np.linalg.solve(cov, d))
+
+    want = {}
+    for i, v in rows:
+        v = np.clip(v, every.min(axis=0), every.max(axis=0))
+        want[i] = 1 / (1 + np.exp(np.clip(density(v, 0) - density(v, 1), -60, 60)))
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert got.keys() == want.keys()
+    assert [got[i] for i in want] == pytest.approx(list(want.values()), abs=1e-4)

@@ -37,3 +37,14 @@ def test_stages_follow_each_other(spark, tmp_path):
     clean = {r.doc_id: r.text for r in secrets.redact(rows.where(rows.doc_id.isin(list(keep)))).collect()}
     enc = chunk_bpe.ChunkEncoder(chunk_bpe.tokenizer_path())
     assert {r.doc_id: bytes(r.ids) for r in got.collect()} == {i: enc.encode(t) for i, t in clean.items()}
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    src = "/root/testdata/sf0.001"
+    docs, labels, bench = (spark.read.parquet(f"{src}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    for name, d, rest in (("nothing", docs.limit(0), 0), ("no-labels", docs.limit(8), None)):
+        d.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.limit(0).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        bench.limit(0).write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        n = corpus_pipeline.run(spark, f"{tmp_path}/{name}").count()
+        assert n == rest if rest is not None else 0 < n <= 8

@@ -168,3 +168,19 @@ def test_block_tables_find_every_pair(spark):
     all_of = [1 << i | 1 << j for i in range(30) for j in range(i)]
     assert {r.v: r.n for r in fingerprints.near_counts(group, tile=50).collect()} == {v: sum(0 < (v ^ w).bit_count() <= 3 for w in all_of) for v in all_of}
     assert fingerprints.near_counts(group.limit(0)).count() == 0
+
+
+def test_fingerprints_of_null_ids(spark):
+    rows = [(None, "words without an id"), (4, "four words are here"), (None, None), (None, "words without an id")]
+    got = [(r.doc_id, r.n_chars, r.fingerprint) for r in fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = [(i, len(t or ""), f"{_votes(t or ''):016x}") for i, t in rows[:3]]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_hash_that_many_documents_hold(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1)
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(i, f"start {i} {item} end") for i in range(300)] + [(999, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "one two three four five other words that are nowhere")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()) == [(i, 7) for i in range(300)]
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()] == [999]

@@ -235,3 +235,9 @@ def test_boundaries_in_bytes_are_safe(text):
     want = _library().encode(text, add_special_tokens=False).ids
     ends = [0, *(m.start() for m in chunk_bpe.BOUNDARY.finditer(data)), len(data)]
     assert [i for a, z in zip(ends, ends[1:], strict=False) for i in _library().encode(data[a:z].decode(), add_special_tokens=False).ids] == want
+
+
+def test_encoding_with_clashing_columns_and_null_ids(spark, library):
+    docs = spark.createDataFrame([(1, "some text", "x"), (None, "other", "y"), (2, None, "z")], "doc_id long, text string, ids string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in chunk_bpe.encode_documents(docs).collect()}
+    assert got == {1: library.encode("some text").ids, None: library.encode("other").ids, 2: []}

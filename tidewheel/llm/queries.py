@@ -14,44 +14,54 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document; null text counts as empty, null ids and repeated rows come back as they are, no rows give none."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
 def op2_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; nulls, ties, repeats and empty tables as in ``near_dups.near_duplicates``."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and decoded text; null text counts as empty, null ids and repeated rows come back as they are, no rows give none."""
     return chunk_bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files in the shared folder, read back; a null id fails, rows of one id stand by a hash of their text, no rows give none."""
     out = shared_path(spark, "tokens")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), out)
     return token_files.read_tokens(spark, out)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, from an empty ledger; null text has none, null ids and repeated rows come back as they are, no rows give none."""
     return secrets.findings(secrets.scan_versions(_table(spark, sf_dir, "documents")))
 
 
 def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a pair of conversations; null ids and turns are left out, repeated rows count once, no rows give none."""
     return preferences.preference_format(*preferences.swapped_replies(_table(spark, sf_dir, "conversations")))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; null text counts as empty, null ids are scored, without labels of both kinds all scores are alike, no rows give none."""
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items in them; null texts contain nothing, repeated rows repeat, an empty table gives none."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; null text counts as empty, null ids are scored, without labels of both kinds every score is 1, no rows give none."""
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; null text counts as empty, a repeated id and text is one document, no rows give none."""
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
