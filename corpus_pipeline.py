@@ -48,6 +48,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. Null text counts as empty, but stays null; an empty table gives no rows.
+
+    Null ids pass each stage; repeated rows are one document after the second stage. Without
+    labels of both kinds, or without benchmark items, those stages let every document through.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
