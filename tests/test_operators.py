@@ -319,6 +319,10 @@ def test_quantiles(spark):
     for r in df.where("x IS NOT NULL").groupBy("k").agg(*(F.percentile("x", p).alias(f"q{i}") for i, p in enumerate(ps)), F.count("x").alias("n"), F.avg("x").alias("m")).collect():
         assert tuple(got.pop(r.k)) == pytest.approx(tuple(r))
     assert not got
+    some = spark.createDataFrame([(None, 4.0), (None, 8.0), (None, None), ("a", None)], "k string, x double")
+    held = quantiles.ranked(some, "x", "k", nulls=True).groupBy("k").agg(quantiles.quantile(0.5).alias("q"), quantiles.rows().alias("n"), quantiles.mean().alias("m"))
+    assert sorted((tuple(r) for r in held.collect()), key=str) == [("a", None, 1, None), (None, 6.0, 3, 6.0)]
+    assert [tuple(r) for r in quantiles.ranked(some, "x", "k").select("k", "v", "n", "before", "total").orderBy("v").collect()] == [(None, 4.0, 1, 0, 2), (None, 8.0, 1, 1, 2)]
     assert quantiles.ranked(df.limit(0), "x").agg(quantiles.quantile(0.5).alias("q"), quantiles.rows().alias("n")).first() == (None, 0)
 
 

@@ -97,11 +97,15 @@ def same_station() -> Column:
     return F.when(same, "SAME_STATION").otherwise("DIFFERENT_STATION")
 
 
+def _medians(trips: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, n, avg_ms, min_ms, max_ms, median_ms) of the column d; n counts nulls too. No task holds all values of a key."""
+    r = quantiles.ranked(trips, "d", *keys, nulls=True)
+    return r.groupBy(*keys).agg(F.sum("n").alias("n"), quantiles.mean().alias("avg_ms"), F.min("v").alias("min_ms"), F.max("v").alias("max_ms"), quantiles.quantile(0.5).alias("median_ms"))
+
+
 def _by_route(trips: DataFrame, where: Column) -> DataFrame:
-    d = trips.where(where).withColumn("d", duration())
     keys = ["start_station_name", "end_station_name"]
-    stats = (F.avg("d").alias("avg_ms"), F.min("d").alias("min_ms"), F.max("d").alias("max_ms"), F.percentile("d", 0.5).alias("median_ms"))
-    return d.groupBy(*keys, same_station().alias("kind")).agg(count(), *stats)
+    return _medians(trips.where(where).select(*keys, same_station().alias("kind"), duration().alias("d")), *keys, "kind")
 
 
 def short_trips(trips: DataFrame, below_ms: int = SHORT_MS) -> DataFrame:
@@ -142,7 +146,7 @@ def depot_routes(trips: DataFrame, depot: str, side: str = "start", n: int = 30)
     other = "end" if side == "start" else "start"
     keys = [f"{other}_station_name", f"{other}_station_latitude", f"{other}_station_longitude"]
     d = trips.where(F.col(f"{side}_station_name") == depot).withColumn("d", duration())
-    return top(d.groupBy(*keys).agg(count(), F.avg("d").alias("avg_ms"), F.percentile("d", 0.5).alias("median_ms")), n, desc("n"), *map(asc, keys))
+    return top(_medians(d, *keys).drop("min_ms", "max_ms"), n, desc("n"), *map(asc, keys))
 
 
 def depot_durations(trips: DataFrame, depot: str) -> DataFrame:
@@ -150,7 +154,7 @@ def depot_durations(trips: DataFrame, depot: str) -> DataFrame:
     s, e = F.col("start_station_name") == depot, F.col("end_station_name") == depot
     groups = F.array_compact(F.array(F.when(s, "FROM depot"), F.when(e, "TO depot"), F.when(s & e, "WITHIN depot")))
     d = trips.where(s | e).select(F.explode(groups).alias("category"), duration().alias("d"))
-    return d.groupBy("category").agg(count(), F.avg("d").alias("avg_ms"), F.percentile("d", 0.5).alias("median_ms"))
+    return _medians(d, "category").drop("min_ms", "max_ms")
 
 
 def depot_daily(trips: DataFrame, depot: str, n: int = 20) -> DataFrame:

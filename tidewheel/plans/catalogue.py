@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.functions import geo, similarity, text, timefn
 from tidewheel.operators import core, entity, flow, layers, places, profile, trips as tr
+from tidewheel.plans import source_queries
 from tidewheel.plans.ordering import merge_by_position
+from tidewheel.plans.storage import shared_path
+from tidewheel.schemas import MAPPING_COLUMNS
+from tidewheel.sources import files
 from tidewheel.sources.adapter import EVENTS_SQL, TIERS_SQL, TRIPS_SQL, station_events, station_tiers, table, trips
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,6 +212,15 @@ def _mapping(t: DataFrame) -> DataFrame:
 
 
 on_trips("canonical_ids", lambda t: _mapping(t).select("canonical_station_id", "canonical_coord_key", "group_id", "raw_name", "coord_key", "trip_count", "canonical_total_trips"), f"WITH RECURSIVE {_CANON} SELECT canonical_station_id, canonical_coord_key, group_id, raw_name, coord_key, trip_count, canonical_total_trips FROM map")
+
+def _exported(t: DataFrame) -> DataFrame:
+    """The mapping as its artifact, written with summary and conflicts, and read back."""
+    root = shared_path(t.sparkSession, "artifacts")
+    entity.export(_mapping(t), root)
+    return files.read_artifact(t.sparkSession, f"{root}/station_canonical_mapping", MAPPING_COLUMNS).select("canonical_station_id", "normalized_name", "coord_key")
+
+
+on_trips("exported_mapping", _exported, f"WITH RECURSIVE {_CANON} SELECT canonical_station_id, normalized_name, coord_key FROM map")
 on_trips("canonical_summary", lambda t: entity.canonical_summary(_mapping(t)).drop("canonical_lat", "canonical_lon"), f"WITH RECURSIVE {_CANON} SELECT canonical_station_id, canonical_coord_key, canonical_total_trips, count(DISTINCT raw_name) AS raw_name_variants, count(DISTINCT normalized_name) AS normalized_name_variants, count(DISTINCT coord_key) AS coord_variants, min(first_year_seen) AS first_year_seen, max(last_year_seen) AS last_year_seen FROM map GROUP BY 1, 2, 3")
 on_trips("name_conflicts", lambda t: entity.name_conflicts(_mapping(t)), f"WITH RECURSIVE {_CANON} SELECT normalized_name, count(DISTINCT canonical_station_id) AS canonical_id_count, sum(trip_count)::BIGINT AS total_trips FROM map GROUP BY 1 HAVING canonical_id_count > 1")
 _MAPPED = f"{_CANON}, lk AS (SELECT DISTINCT normalized_name, coord_key, canonical_station_id FROM map), mt AS (SELECT t.*, a.canonical_station_id AS s, b.canonical_station_id AS e FROM trips t LEFT JOIN lk a ON a.normalized_name = {_NORM.format(x='start_station_name')} AND a.coord_key = printf('%.6f,%.6f', round(start_station_latitude, 6), round(start_station_longitude, 6)) LEFT JOIN lk b ON b.normalized_name = {_NORM.format(x='end_station_name')} AND b.coord_key = printf('%.6f,%.6f', round(end_station_latitude, 6), round(end_station_longitude, 6))), one AS (SELECT count(*)::DOUBLE AS total_trips, count(*) FILTER ({SAME})::DOUBLE AS raw_self_loops, count(*) FILTER (s = e)::DOUBLE AS canonical_self_loops, count(*) FILTER (s IS NULL OR e IS NULL)::DOUBLE AS unmapped_trips, (SELECT count(*) FROM (SELECT coord_key FROM map GROUP BY 1 HAVING count(DISTINCT canonical_station_id) > 1))::DOUBLE AS coordinates_with_several_ids FROM mt)"
@@ -355,3 +368,6 @@ def _flows(s: SparkSession, d: str) -> DataFrame:
 
 
 add("two_key_full_outer", _flows, f"WITH f AS (SELECT {_TIER} AS tier, hour(ts) AS hour, direction FROM ev JOIN tiers USING (station)), o AS (SELECT tier, hour, count(*) AS departures FROM f WHERE direction = 'out' AND hour < 20 GROUP BY ALL), i AS (SELECT tier, hour, count(*) AS arrivals FROM f WHERE direction = 'in' AND hour > 3 GROUP BY ALL) SELECT tier, hour, coalesce(departures, 0) AS departures, coalesce(arrivals, 0) AS arrivals FROM o FULL JOIN i USING (tier, hour)", "e")
+
+QUERIES |= source_queries.QUERIES
+ORACLE |= source_queries.ORACLE

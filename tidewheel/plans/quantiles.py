@@ -7,21 +7,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .storage import materialize
 
 
-def ranked(df: DataFrame, value: str, *by: str) -> DataFrame:
-    """(*by, v, n, before, total): each distinct value, its rows, the rows of lesser values and all rows, nulls left out.
+def ranked(df: DataFrame, value: str, *by: str, nulls: bool = False) -> DataFrame:
+    """(*by, v, n, before, total): each distinct value, its rows, the rows of lesser values and all rows, null values left out
+    (with ``nulls`` they are a row of v null, which no rank counts); a null in ``by`` is a key like any other.
 
     Equal values are counted before they move. Distinct values are sorted by range; a window sees
     the values of one range, another one row a range. The ranked values are written once, so
     whatever is read from them scans df no second time.
     """
     keys = list(by)
-    counts = df.select(*keys, F.col(value).alias("v")).where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(*keys, F.col(value).alias("v"))
+    counts = (values if nulls else values.where("v IS NOT NULL")).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
     dealt = materialize(counts.repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()), "value-counts")
-    inside = dealt.withColumn("within", F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("v")) - F.col("n"))
-    sums = dealt.groupBy(*keys, "part").agg(F.sum("n").alias("m"))
+    held = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)
+    inside = dealt.withColumn("within", F.sum(held).over(Window.partitionBy(*keys, "part").orderBy("v")) - held)
+    sums = dealt.groupBy(*keys, "part").agg(F.sum(held).alias("m"))
     every = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     sums = sums.select(*keys, "part", (F.sum("m").over(every.orderBy("part")) - F.col("m")).alias("offset"), F.sum("m").over(every).alias("total"))
-    return inside.join(sums, [*keys, "part"]).select(*keys, "v", "n", (F.col("offset") + F.col("within")).alias("before"), "total")
+    sums = sums.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("part").alias("__part"), "offset", "total")
+    same = F.col("part") == F.col("__part")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return inside.join(sums, same).select(*keys, "v", "n", (F.col("offset") + F.col("within")).alias("before"), "total")
 
 
 def quantile(p: float) -> Column:
@@ -42,4 +49,4 @@ def rows_where(condition: Column) -> Column:
 
 
 def mean() -> Column:
-    return F.try_divide(F.sum(F.col("v").cast("double") * F.col("n")), F.sum("n"))
+    return F.try_divide(F.sum(F.col("v").cast("double") * F.col("n")), F.sum(F.when(F.col("v").isNotNull(), F.col("n"))))
