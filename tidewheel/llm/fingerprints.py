@@ -74,13 +74,12 @@ def _first_table(x: Column, masks: list[int]) -> Column:
     return F.coalesce(*(F.when(x.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(i)) for i, m in enumerate(masks)))
 
 
-def near_counts(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp", tile: int = TILE) -> DataFrame:
-    """(v, n) of each distinct fingerprint (long): how many others are at most ``radius`` bits apart; those without any have no row.
+def _met(fps: DataFrame, radius: int, blocks: int, fp: str, tile: int) -> tuple[DataFrame, list[int]]:
+    """(bucket, i, j, a, b): the distinct fingerprints of tiles i and j (the same in both if they are one) of each bucket of two or more; and the tables' masks.
 
-    Block tables as in ``near_pairs``, but pairs are only counted, inside the row of a bucket, so a
-    large group of near fingerprints never becomes a table of its pairs. Buckets over ``tile``
-    are dealt into tiles and compared a pair of tiles at a time. A pair counts in the first
-    table that holds it. Null fingerprints are left out; an empty table gives none.
+    Fingerprints that differ in ``radius`` bits agree on at least ``blocks - radius`` of the
+    blocks. Each choice of that many blocks is a table, permuted so that they are its key.
+    Buckets over ``tile`` are dealt into tiles, each pair of tiles a row of its own.
     """
     masks = _tables(radius, blocks)
     rows = materialize(_keyed(fps, fp, masks).select("v", F.struct("tab", "key").alias("bucket")), "block-tables")
@@ -89,33 +88,45 @@ def near_counts(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp:
     tiles = F.ceil(F.col("n") / tile).cast("int")
     met = met.withColumn("own", F.pmod(F.xxhash64("v"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     side = lambda at: F.collect_list(F.when(F.col("own") == F.col(at), F.col("v"))).alias("a" if at == "i" else "b")
-    groups = met.select("bucket", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).groupBy("bucket", "i", "j").agg(side("i"), side("j"))
+    return met.select("bucket", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).groupBy("bucket", "i", "j").agg(side("i"), side("j")), masks
 
-    def counted(these: str, those: str) -> Column:
-        def one(v: Column) -> Column:
-            close = lambda w: (w != v) & (F.bit_count(w.bitwiseXOR(v)) <= radius) & (_first_table(w.bitwiseXOR(v), masks) == F.col("bucket.tab"))
-            return F.struct(v.alias("v"), F.size(F.filter(those, close)).alias("n"))
 
-        return F.transform(these, one)
+def _close(v: Column, w: Column, radius: int, masks: list[int]) -> Column:
+    """Whether two fingerprints of a bucket are within the radius and meet in no earlier table."""
+    x = w.bitwiseXOR(v)
+    return (w != v) & (F.bit_count(x) <= radius) & (_first_table(x, masks) == F.col("bucket.tab"))
+
+
+def near_counts(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp", tile: int = TILE) -> DataFrame:
+    """(v, n) of each distinct fingerprint (long): how many others are at most ``radius`` bits apart; those without any have no row.
+
+    Pairs are only counted, inside the row of a bucket or of two of its tiles, so a large group
+    of near fingerprints never becomes a table of its pairs. A pair counts in the first table
+    that holds it. Null fingerprints are left out; an empty table gives none.
+    """
+    groups, masks = _met(fps, radius, blocks, fp, tile)
+
+    def counted(these: str, those: str) -> Column:
+        return F.transform(these, lambda v: F.struct(v.alias("v"), F.size(F.filter(those, lambda w: _close(v, w, radius, masks))).alias("n")))
 
     both = F.concat(counted("a", "b"), F.when(F.col("i") < F.col("j"), counted("b", "a")).otherwise(F.array().cast("array<struct<v:bigint,n:int>>")))
     return groups.select(F.explode(F.filter(both, lambda x: x["n"] > 0)).alias("x")).groupBy("x.v").agg(F.sum("x.n").alias("n"))
 
 
-def near_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp") -> DataFrame:
-    """(a, b, distance), a < b, of all distinct fingerprints (long) at most ``radius`` bits apart.
+def near_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, fp: str = "fp", tile: int = TILE) -> DataFrame:
+    """(a, b, distance), a < b, of all distinct fingerprints (long) at most ``radius`` bits apart, each pair once.
 
-    Fingerprints that differ in ``radius`` bits agree on at least ``blocks - radius`` of the
-    blocks. Each choice of that many blocks is a table, permuted so that they are its key;
-    a pair is kept from the first table that holds it, so no pair comes twice. For tables
-    without large groups of near fingerprints; ``near_counts`` has no such condition.
+    Compared as in ``near_counts``: only pairs within the radius leave the row of two tiles. A
+    group of g near fingerprints has g² such pairs; where only their number matters, count them.
+    Null fingerprints are left out; an empty table gives none.
     """
-    masks = _tables(radius, blocks)
-    rows = _keyed(fps, fp, masks)
-    a, b = rows.select(F.col("v").alias("a"), "tab", "key"), rows.select(F.col("v").alias("b"), "tab", "key")
-    x = F.col("a").bitwiseXOR(F.col("b"))
-    pairs = a.join(b, ["tab", "key"]).where((F.col("a") < F.col("b")) & (F.bit_count(x) <= radius))
-    return pairs.where(F.col("tab") == _first_table(x, masks)).select("a", "b", F.bit_count(x).alias("distance"))
+    groups, masks = _met(fps, radius, blocks, fp, tile)
+
+    def near(v: Column) -> Column:
+        found = F.filter("b", lambda w: _close(v, w, radius, masks) & ((F.col("i") < F.col("j")) | (v < w)))
+        return F.transform(found, lambda w: F.struct(F.least(v, w).alias("a"), F.greatest(v, w).alias("b"), F.bit_count(v.bitwiseXOR(w)).alias("distance")))
+
+    return groups.select(F.explode(F.flatten(F.transform("a", near))).alias("x")).select("x.*")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
