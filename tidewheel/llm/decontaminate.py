@@ -46,6 +46,7 @@ class Index:
     least hash the document has one at least: probing a document's shingles for the
     sketches finds every such item. What is found is then verified shingle by shingle.
     Partitions whose smallest item needs more shingles than the document has are passed over.
+    An item of fewer words than a shingle is found only in a document that has no other words.
     """
 
     def __init__(self, items: list[tuple[int, str]], width: int = WIDTH, threshold: float = THRESHOLD):
@@ -76,7 +77,7 @@ class Index:
         known = ids > 0
         out, runs = [], {}
         for w, need, sketch, members in self.parts:
-            if len(ids) - w + 1 < need:
+            if len(ids) - w + 1 < need or w < self.width and len(ids) != w:
                 continue
             if w not in runs:
                 full = np.ones(len(ids) - w + 1, bool)
@@ -161,18 +162,18 @@ def joined_hits(texts: DataFrame, items: DataFrame, width: int, threshold: float
         for b in batches:
             for key, t in zip(b.column(0), b.column(1), strict=True):
                 words = words_of(t.as_py())
-                found = np.array(sorted({h(x, w) for w in widths for x in _shingles(words, w)}), np.uint64).view(np.int64)
+                found = np.array(sorted({h(x, w) for w in widths if w == width or len(words) == w for x in _shingles(words, w)}), np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(found), pa.binary()), pa.array(found)], names=["th", "h"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for t, item in zip(b.column(2), b.column(3), strict=True):
-                words = words_of(item.as_py())
+                words, of = words_of(item.as_py()), words_of(t.as_py())
                 w = min(width, len(words))
                 s = _shingles(words, w)
-                shared = len(s & _shingles(words_of(t.as_py()), w))
-                out.append((shared, len(s), shared >= math.ceil(threshold * len(s) - 1e-9)))
+                shared = len(s & _shingles(of, w))
+                out.append((shared, len(s), shared >= math.ceil(threshold * len(s) - 1e-9) and (w == width or len(of) == w)))
             shared, n, keep = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared, pa.int64()), pa.array(n, pa.int64())], names=["th", "ith", "shared", "shingles"]).filter(pa.array(keep, pa.bool_()))
 
@@ -191,7 +192,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
     """(doc_id, item_id, shared, shingles, containment) for each document and each item that it contains.
 
     An item is contained if the document has at least ``threshold`` of its distinct shingles of
-    ``width`` words; an item of fewer words is one shingle; one without words is never
+    ``width`` words. An item of fewer words says too little to stand for a leak inside other text: it
+    is contained in a document of the same words and no others; one without words is never
     contained. Clean documents have no row. Null texts contain nothing; null ids and repeated
     rows give their rows like others; either table may be empty. A benchmark of at most
     BLOCK_BYTES goes to every task; a larger one is joined, and never meets the driver.
