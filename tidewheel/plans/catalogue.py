@@ -352,7 +352,7 @@ add("anti_join", lambda s, d: table(s, d, "customer").join(table(s, d, "orders")
 add("concat_frames", lambda s, d: core.concat([table(s, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_nationkey").alias("nation")), table(s, d, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_nationkey").alias("nation"))]).groupBy("kind", "nation").agg(tr.count()), "SELECT kind, nation, count(*) AS n FROM (SELECT 'customer' AS kind, c_nationkey AS nation FROM customer UNION ALL SELECT 'supplier', s_nationkey FROM supplier) GROUP BY ALL")
 _TRIP_COLUMNS = [f"{p}_station_{c}" for p in ("start", "end") for c in ("name", "district", "latitude", "longitude")] + ["start_time_ms", "end_time_ms"]
 on_trips("trip_null_report", profile.null_report, " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls, count(*) FILTER ({c} IS NULL) * 100.0::DOUBLE / count(*) AS percentage FROM trips" for c in _TRIP_COLUMNS))
-_MOVED = "CASE WHEN start_station_district = 'ASIA' AND start_time_ms < 788918400000 THEN start_station_latitude + 0.01::DOUBLE ELSE start_station_latitude END"
+_MOVED = "CASE WHEN start_station_district = 'ASIA' AND start_time_ms < 883612800000 THEN start_station_latitude + 0.01::DOUBLE ELSE start_station_latitude END"
 on_trips(
     "moved_name_conflicts", lambda t: entity.name_conflicts(entity.canonical_mapping(entity.observations(t.withColumn("start_station_latitude", F.expr(_MOVED.replace("::DOUBLE", "D")))))),
     f"WITH mv AS (SELECT * REPLACE ({_MOVED} AS start_station_latitude) FROM trips), {OBS.format(t='mv')} SELECT normalized_name, count(DISTINCT coord_key) AS canonical_id_count, sum(trip_count)::BIGINT AS total_trips FROM obs GROUP BY 1 HAVING canonical_id_count > 1",
